@@ -276,8 +276,8 @@ def stream_drift(spark, sf_dir):
 
 
 @query("stream_hourly", f"""WITH {OBS}, w AS (SELECT strftime(date_time, '%Y-%m-%d %H:%M:%S') AS hour_start, weather_main, count(*) AS n,
-avg(traffic_volume) AS avg_volume, min(date_time) AS at FROM obs GROUP BY 1, 2)
-SELECT * EXCLUDE (at) FROM w WHERE at + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM obs) - INTERVAL 1 HOUR""", ["avg_volume"])
+avg(traffic_volume) AS avg_volume, min(date_time) AS opened FROM obs GROUP BY 1, 2)
+SELECT * EXCLUDE (opened) FROM w WHERE opened + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM obs) - INTERVAL 1 HOUR""", ["avg_volume"])
 def stream_hourly(spark, sf_dir):
     """Hours whose end the watermark has passed."""
     out = _drained(spark, sf_dir, "hourly", lambda o, c: jobs.stream_hourly(_raw_stream(spark, sf_dir), o, c))

@@ -66,25 +66,16 @@ def quantiles_of_counts(
     counts: DataFrame, probabilities: Sequence[float], keys: Sequence[str] = ()
 ) -> DataFrame:
     """(keys, q) with the linearly interpolated quantiles as an array, from ``value_counts``."""
-    ranked = running_totals(counts, ["n"], keys)
-    last = F.col("before_n") + F.col("n") - 1
-
-    def at(rank: Column) -> Column:
-        return F.min(F.when(last >= rank, F.col("value")))
-
-    picked = []
-    for i, p in enumerate(probabilities):
-        rank = F.lit(float(p)) * (F.col("all_n") - 1).cast("double")
-        picked += [
-            at(F.floor(rank)).alias(f"_lo{i}"),
-            at(F.ceil(rank)).alias(f"_hi{i}"),
-            F.max(rank - F.floor(rank)).alias(f"_part{i}"),
-        ]
-    values = [
-        F.col(f"_lo{i}") + F.col(f"_part{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
-        for i in range(len(probabilities))
-    ]
-    return ranked.groupBy(*keys).agg(*picked).select(*keys, F.array(*values).alias("q"))
+    def picked(p: float) -> str:
+        rank = f"({float(p)!r}D * (all_n - 1))"
+        return f"""named_struct(
+            'lo', min(CASE WHEN before_n + n - 1 >= floor({rank}) THEN value END),
+            'hi', min(CASE WHEN before_n + n - 1 >= ceil({rank}) THEN value END),
+            'part', max({rank} - floor({rank})))"""
+
+    around = F.expr(f"array({', '.join(picked(p) for p in probabilities)})").alias("_around")
+    q = F.expr("transform(_around, a -> a.lo + a.part * (a.hi - a.lo))").alias("q")
+    return running_totals(counts, ["n"], keys).groupBy(*keys).agg(around).select(*keys, q)
 
 
 def exact_quantiles(

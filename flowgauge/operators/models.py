@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +39,17 @@ def time_split(df: DataFrame, split: str) -> tuple[DataFrame, DataFrame]:
     return df.where(before(split)), df.where(~before(split))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input with few splits; an input with many is left as it is.
+
+    Meant for scans: asking a frame with shuffles for its partitions would run it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features")
 
@@ -52,20 +63,24 @@ def _forest(**extra) -> dict:
 
 
 def fit_linear(train: DataFrame, features: Sequence[str] = FEATURES, label: str = "traffic_volume") -> PipelineModel:
-    """Least squares in one pass over the rows.
+    """Least squares by the direct solver: one pass over the rows.
 
-    The eleven weather columns and the intercept are collinear; the tiny penalty picks one of the
-    equally good solutions instead of failing the direct solver.
+    Constant columns are dropped and a tiny penalty picks one of the equally good solutions of the
+    collinear weather columns; otherwise the solver would fall back to an iterative one.
     """
-    stage = LinearRegression(labelCol=label, predictionCol=VOLUME, solver="normal", regParam=1e-6)
-    return Pipeline(stages=[_assembler(features), stage]).fit(train)
+    stages = [
+        VectorAssembler(inputCols=list(features), outputCol="all_features"),
+        VarianceThresholdSelector(featuresCol="all_features", outputCol="features", varianceThreshold=0.0),
+        LinearRegression(labelCol=label, predictionCol=VOLUME, solver="normal", regParam=1e-6),
+    ]
+    return Pipeline(stages=stages).fit(spread(train))
 
 
 def fit_forest_regressor(train: DataFrame, features: Sequence[str] = FEATURES, **params) -> PipelineModel:
     stage = RandomForestRegressor(
         labelCol="traffic_volume", predictionCol=VOLUME, featureSubsetStrategy="all", **_forest(**params)
     )
-    return Pipeline(stages=[_assembler(features), stage]).fit(train)
+    return Pipeline(stages=[_assembler(features), stage]).fit(spread(train))
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str] = FEATURES, label: str = "congestion") -> PipelineModel:
@@ -74,7 +89,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str] = FEATURES, label: st
         labelCol=label, predictionCol=CLASS, probabilityCol="_probability", rawPredictionCol="_raw",
         regParam=1.0 / max(train.count(), 1), elasticNetParam=0.0, standardization=True, maxIter=1000,
     )
-    return Pipeline(stages=[_assembler(features), stage]).fit(train)
+    return Pipeline(stages=[_assembler(features), stage]).fit(spread(train))
 
 
 def fit_forest_classifier(
@@ -86,7 +101,7 @@ def fit_forest_classifier(
         labelCol=label, predictionCol=CLASS, probabilityCol="_probability", rawPredictionCol="_raw",
         **extra, **_forest(**params),
     )
-    return Pipeline(stages=[_assembler(features), stage]).fit(train)
+    return Pipeline(stages=[_assembler(features), stage]).fit(train if weight else spread(train))
 
 
 def balanced_weights(train: DataFrame, label: str) -> DataFrame:
@@ -100,11 +115,11 @@ def balanced_weights(train: DataFrame, label: str) -> DataFrame:
 
 
 def fit_balanced_classifier(train: DataFrame, label: str = "high_risk", **params) -> PipelineModel:
-    return fit_forest_classifier(balanced_weights(train, label), label=label, weight="weight", **params)
+    return fit_forest_classifier(balanced_weights(spread(train), label), label=label, weight="weight", **params)
 
 
 def predict_volume(model: PipelineModel, df: DataFrame) -> DataFrame:
-    return model.transform(df).drop("features")
+    return model.transform(df).drop("features", "all_features")
 
 
 def predict_class(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -132,10 +147,19 @@ def cluster_input(df: DataFrame, features: Sequence[str] = CLUSTER_FEATURES) ->
     return _assembler(scaled).transform(standardize(copies, scaled)).drop(*scaled)
 
 
-def fit_kmeans(vectors: DataFrame, k: int, restarts: int = CLUSTER_RESTARTS, seed: int = SEED) -> KMeansModel:
-    """The best of several starts by training cost; the caller keeps the vectors cached."""
-    fitted = (KMeans(k=k, seed=seed + i, predictionCol="cluster").fit(vectors) for i in range(restarts))
-    return reduce(lambda a, b: b if b.summary.trainingCost < a.summary.trainingCost else a, fitted)
+def fit_kmeans(
+    vectors: DataFrame, k: int, restarts: int = CLUSTER_RESTARTS, seed: int = SEED, parallelism: int = CLUSTER_RESTARTS
+) -> KMeansModel:
+    """The best of several starts by training cost, ``parallelism`` of them at a time.
+
+    The caller keeps the vectors cached.
+    """
+    def start(i: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + i, predictionCol="cluster").fit(vectors)
+
+    with ThreadPool(parallelism) as pool:
+        fitted = pool.map(inheritable_thread_target(vectors.sparkSession)(start), range(restarts))
+    return min(fitted, key=lambda m: m.summary.trainingCost)
 
 
 def squared_silhouette(clustered: DataFrame) -> float:
@@ -276,6 +300,7 @@ def shapley_attribution(
         sample.select(*keys, values.alias("x"), means.alias("mean"))
         .withColumn("order_id", F.explode(F.sequence(F.lit(0), F.lit(len(drawn) - 1))))
         .join(F.broadcast(plan), "order_id")  # 2 * orders rows
+        .repartition(spark.sparkContext.defaultParallelism)  # the sample came out of one task
         .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(width))))
         .withColumn("rank", F.transform(
             F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.array_position("turn", i.cast("int")).cast("int")

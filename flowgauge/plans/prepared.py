@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from flowgauge.operators import cleaning, features, models
 from flowgauge.session import work_path
@@ -20,6 +21,7 @@ from flowgauge.sources.views import observations
 SPLIT = "2024-01-24"
 
 _done: set[str] = set()
+_schemas: dict[str, StructType] = {}
 
 
 def place(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -33,12 +35,19 @@ def once(path: str, build: Callable[[str], None]) -> str:
     return path
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by this application; its schema is read from the files only once."""
+    if path not in _schemas:
+        _schemas[path] = tables.read_by_month(spark, path).schema
+    return tables.read_by_month(spark, path, _schemas[path]).drop("year", "month_part")
+
+
 def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = observations(spark, sf_dir)
     path = once(
         place(spark, sf_dir, "clean"), lambda p: tables.write_by_month(cleaning.clean(raw), p)
     )
-    return tables.read_by_month(spark, path).select(*raw.columns)
+    return stored(spark, path).select(*raw.columns)
 
 
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +55,7 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         place(spark, sf_dir, "features"),
         lambda p: tables.write_by_month(features.feature_table(clean_rows(spark, sf_dir)), p),
     )
-    return tables.read_by_month(spark, path).drop("year", "month_part")
+    return stored(spark, path)
 
 
 def split_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

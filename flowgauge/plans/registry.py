@@ -5,9 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from flowgauge.functions.fields import clock, day_text
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -19,17 +16,17 @@ def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Comparable output: 64-bit numbers, rounded doubles without a negative zero, text timestamps."""
     columns = []
     for name, kind in df.dtypes:
-        c = F.col(f"`{name}`")
+        c = f"`{name}`"
         if kind in ("tinyint", "smallint", "int"):
-            c = c.cast("long")
+            c = f"CAST({c} AS BIGINT)"
         elif kind in ("double", "float") or kind.startswith("decimal"):
-            c = F.round(c.cast("double"), digits) + F.lit(0.0)
+            c = f"round(CAST({c} AS DOUBLE), {digits}) + 0.0D"
         elif kind in ("timestamp", "timestamp_ntz"):
-            c = clock(c)
+            c = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
         elif kind == "date":
-            c = day_text(c)
-        columns.append(c.alias(name))
-    return df.select(*columns)
+            c = f"date_format({c}, 'yyyy-MM-dd')"
+        columns.append(f"{c} AS `{name}`")
+    return df.selectExpr(*columns)
 
 
 def query(name: str, sql: str | None = None, doubles: Sequence[str] = (), digits: int = 6):

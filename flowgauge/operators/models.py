@@ -25,6 +25,8 @@ from flowgauge.constants import (
 from flowgauge.functions.fields import sample_order
 from flowgauge.operators.features import standardize, unstandardize
 from flowgauge.operators.sequences import lookback_windows, previous_value, row_positions
+from flowgauge.session import work_path
+from flowgauge.sources.tables import load_model, save_model
 
 FOREST_DEPTH = 10
 VOLUME, CLASS, PROBABILITY = "predicted_volume", "predicted_class", "congestion_probability"
@@ -54,6 +56,11 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features")
 
 
+def _fitted(stages: list, train: DataFrame) -> PipelineModel:
+    """A copy without the training summary, whose session reference can make the model unserialisable."""
+    return Pipeline(stages=stages).fit(train).copy()
+
+
 def _forest(**extra) -> dict:
     # large node groups per pass: fewer scans of the training data at every tree level
     return dict(
@@ -89,7 +96,11 @@ def fit_logistic(train: DataFrame, features: Sequence[str] = FEATURES, label: st
         labelCol=label, predictionCol=CLASS, probabilityCol="_probability", rawPredictionCol="_raw",
         regParam=1.0 / max(train.count(), 1), elasticNetParam=0.0, standardization=True, maxIter=1000,
     )
-    return Pipeline(stages=[_assembler(features), stage]).fit(spread(train))
+    model = Pipeline(stages=[_assembler(features), stage]).fit(spread(train))
+    # unlike a forest, this model keeps its summary in a copy; a stored one has none
+    path = work_path(train.sparkSession, "fits", model.uid)
+    save_model(model, path)
+    return load_model(path)
 
 
 def fit_forest_classifier(
@@ -101,7 +112,7 @@ def fit_forest_classifier(
         labelCol=label, predictionCol=CLASS, probabilityCol="_probability", rawPredictionCol="_raw",
         **extra, **_forest(**params),
     )
-    return Pipeline(stages=[_assembler(features), stage]).fit(train if weight else spread(train))
+    return _fitted([_assembler(features), stage], train if weight else spread(train))
 
 
 def balanced_weights(train: DataFrame, label: str) -> DataFrame:

@@ -19,9 +19,13 @@ SLOTS_PER_UNIT = 4096  # slots per e-fold of the value
 
 
 def slot_of(value: Column) -> Column:
-    """Slot number; never decreases when the value grows, and needs no pass for min and max."""
+    """Slot number; never decreases when the value grows, and needs no pass for min and max.
+
+    Never NULL, so a join on it adds no filter to one side only and both can read one shuffle.
+    """
     value = value.cast("double")
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(SLOTS_PER_UNIT)).cast("long")
+    slot = F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(SLOTS_PER_UNIT)).cast("long")
+    return F.coalesce(slot, F.lit(0).cast("long"))
 
 
 def value_counts(df: DataFrame, value: Column, keys: Sequence[str] = ()) -> DataFrame:
@@ -63,19 +67,28 @@ def running_totals(counts: DataFrame, weights: Sequence[str], keys: Sequence[str
 
 
 def quantiles_of_counts(
-    counts: DataFrame, probabilities: Sequence[float], keys: Sequence[str] = ()
+    counts: DataFrame, probabilities: Sequence[float], keys: Sequence[str] = (),
+    weight: str = "n", totals: Sequence[str] = (),
 ) -> DataFrame:
-    """(keys, q) with the linearly interpolated quantiles as an array, from ``value_counts``."""
+    """(keys, q) with the linearly interpolated quantiles as an array, from ``value_counts``.
+
+    Values count ``weight`` times, none when it is 0. ``totals`` names weights whose group sums are
+    wanted beside the quantiles, as ``all_<name>``.
+    """
     def picked(p: float) -> str:
-        rank = f"({float(p)!r}D * (all_n - 1))"
+        rank = f"({float(p)!r}D * (all_{weight} - 1))"
+        last = f"before_{weight} + {weight} - 1"
         return f"""named_struct(
-            'lo', min(CASE WHEN before_n + n - 1 >= floor({rank}) THEN value END),
-            'hi', min(CASE WHEN before_n + n - 1 >= ceil({rank}) THEN value END),
+            'lo', min(CASE WHEN {last} >= floor({rank}) THEN value END),
+            'hi', min(CASE WHEN {last} >= ceil({rank}) THEN value END),
             'part', max({rank} - floor({rank})))"""
 
     around = F.expr(f"array({', '.join(picked(p) for p in probabilities)})").alias("_around")
     q = F.expr("transform(_around, a -> a.lo + a.part * (a.hi - a.lo))").alias("q")
-    return running_totals(counts, ["n"], keys).groupBy(*keys).agg(around).select(*keys, q)
+    # the last running total is the group sum; reading it here keeps every branch on the same columns
+    sums = [F.max(F.col(f"before_{t}") + F.col(t)).alias(f"all_{t}") for t in totals]
+    ranked = running_totals(counts, list(dict.fromkeys([weight, *totals])), keys)
+    return ranked.groupBy(*keys).agg(around, *sums).select(*keys, q, *[f"all_{t}" for t in totals])
 
 
 def exact_quantiles(

@@ -3,7 +3,7 @@
 Rows are first reduced to (value, count) pairs, which partial aggregation does before
 the shuffle, so a value held by a third of all rows is one row per map task. The distinct
 values are then cut into many narrow slots by a fixed, increasing function of the value.
-Only the slot totals of a group (tens of thousands at most) are summed in one window;
+Only the slot totals of a group (a few hundred thousand at most) are summed in one window;
 the values themselves are summed slot by slot. Every step spills, none needs a hash map
 of all distinct values as ``percentile`` does.
 """
@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLOTS_PER_UNIT = 4096  # slots per e-fold of the value
+SLOTS_PER_UNIT = 32768  # slots per e-fold of the value
 
 
 def slot_of(value: Column) -> Column:

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from flowgauge.operators import features, profiles, rules, statistics
 from flowgauge.plans.basics import ALL_COLUMNS, FIRST_YEAR, HOLIDAY_DAYS, LAST_YEAR, MEASURES
-from flowgauge.plans.checks import CLEAN, FEAT, HIST, OBS, STAMP, cleaned, time_of_day
-from flowgauge.plans.prepared import clean_rows, feature_rows
+from flowgauge.plans.checks import CLEAN, HIST, OBS, STAMP, time_of_day
+from flowgauge.plans.prepared import clean_rows
 from flowgauge.plans.registry import query
 from flowgauge.plans.suite import holiday_list, run_named
 from flowgauge.sources.views import history, observations

@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from flowgauge.constants import CONGESTION_THRESHOLD, FEATURES, HOT_KELVIN, KELVIN_OFFSET, WEATHER
+from flowgauge.constants import CONGESTION_THRESHOLD, HOT_KELVIN, KELVIN_OFFSET
 from flowgauge.functions import fields
-from flowgauge.operators import cleaning, drift, features, metrics, models, profiles, statistics
+from flowgauge.operators import cleaning, drift, models, profiles, statistics
 from flowgauge.plans import prepared
-from flowgauge.plans.checks import CLEAN, FEAT, HIST, OBS, STAMP, TEST, TRAIN, cleaned, time_of_day
+from flowgauge.plans.checks import CLEAN, FEAT, HIST, OBS, STAMP, TRAIN, time_of_day
 from flowgauge.plans.prepared import SPLIT, clean_rows, feature_rows, place
 from flowgauge.plans.registry import query
 from flowgauge.plans.suite import SUITE, holiday_list, run_named, store_as_results, verify_load, write_suite

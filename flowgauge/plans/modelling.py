@@ -2,13 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from flowgauge.constants import CLUSTER_FEATURES, CONGESTION_QUANTILE, FEATURES, SEQUENCE_CHANNELS, WEATHER
-from flowgauge.functions.fields import celsius, sample_order
+from flowgauge.constants import CONGESTION_QUANTILE, FEATURES, SEQUENCE_CHANNELS, WEATHER
+from flowgauge.functions.fields import sample_order
 from flowgauge.functions.ordered import quantile_scalar
 from flowgauge.operators import cleaning, features, metrics, models, runs, sequences
 from flowgauge.plans import prepared
 from flowgauge.plans.basics import ALL_COLUMNS, MEASURES
-from flowgauge.plans.checks import CLEAN, FEAT, HIST, OBS, STAMP, TEST, TRAIN, cleaned
+from flowgauge.plans.checks import CLEAN, FEAT, HIST, STAMP, TEST, TRAIN, cleaned
 from flowgauge.plans.prepared import SPLIT, clean_rows, feature_rows, place, split_rows
 from flowgauge.plans.registry import query
 from flowgauge.sources import tables

@@ -4,12 +4,11 @@ from pyspark.sql import functions as F
 
 from flowgauge.constants import DRIFT_FEATURES, TOP_RULES, WEATHER
 from flowgauge.functions import fields
-from flowgauge.operators import advice, cleaning, drift, features, metrics, models, runs, scoring, sequences
+from flowgauge.operators import advice, cleaning, drift, models, runs, scoring, sequences
 from flowgauge.plans import prepared
-from flowgauge.plans.basics import MEASURES
 from flowgauge.plans.checks import CLEAN, FEAT, OBS, STAMP, TEST, TRAIN, time_of_day
 from flowgauge.plans.modelling import KEYS, experiment_table
-from flowgauge.plans.prepared import SPLIT, clean_rows, feature_rows, place, split_rows
+from flowgauge.plans.prepared import SPLIT, clean_rows, feature_rows, place
 from flowgauge.plans.registry import query
 from flowgauge.sources.views import event_columns, requests_from_events, score_requests_view
 from flowgauge.streaming import jobs

@@ -1,4 +1,3 @@
-from datetime import datetime
 
 import pytest
 from pyspark.sql import Observation

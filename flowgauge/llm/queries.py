@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import mixing, sentencepiece
+from flowgauge.llm import main_text, mixing, sentencepiece, surrogates, topk
 from flowgauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,11 @@ def registered(build: Callable[[SparkSession, str], DataFrame]):
     return build
 
 
+@registered
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @registered
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = mixing.mix(table(spark, sf_dir, "documents"))
@@ -32,3 +37,25 @@ ORACLES["op4_mixing"] = mixing.checking_sql()
 @registered
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encoded_with_check(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantized(topk.usable(table(spark, sf_dir, "embeddings")))
+    found = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast("long").alias("score"))
+
+
+ORACLES["op9_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@registered
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymized(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")

@@ -61,7 +61,7 @@ PATTERNS = (
     ("phone", r"\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}\b|\(\d{3}\) ?\d{3}[\-. ]\d{4}\b|\b\d{3}[\-.]\d{3}[\-.]\d{4}\b"),
     ("ipv4", r"\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b"),
     ("ipv6", r"\b(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\b"),
-    ("card", r"\b\d(?:[ \-]?\d){12,18}\b"),
+    ("card", r"(?<![.\d])\b\d(?:[ \-]?\d){12,18}\b"),
     ("title", rf"\b(?:{_words})\.? {NAME_WORD}(?: {NAME_WORD}){{0,2}}"),
     ("name", rf"\b(?:{_firsts}) {NAME_WORD}"),
 )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import main_text, mixing, sentencepiece, surrogates, topk
+from flowgauge.llm import jaccard, main_text, mixing, neighbours, quality, sentencepiece, surrogates, topk
 from flowgauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,13 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+@registered
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.fit(documents, table(spark, sf_dir, "labels"))
+    return quality.score(documents.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
+
+
 @registered
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = mixing.mix(table(spark, sf_dir, "documents"))
@@ -39,6 +46,30 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encoded_with_check(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_jaccard"] = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS t FROM w WHERE w IS NOT NULL),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS c FROM s a JOIN s b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, MIN(r.b) AS component_id
+FROM documents d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY ALL"""
+
+
+@registered
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.usable(table(spark, sf_dir, "embeddings"))
+    found = neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 @registered
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.quantized(topk.usable(table(spark, sf_dir, "embeddings")))

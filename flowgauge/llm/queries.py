@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import jaccard, main_text, mixing, neighbours, quality, sentencepiece, surrogates, topk
+from flowgauge.llm import jaccard, main_text, mixing, neighbours, quality, sentencepiece, substrings, surrogates, topk
 from flowgauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,22 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+@registered
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_substrings"] = """
+WITH w AS (SELECT doc_id, COALESCE(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents),
+s AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM w, unnest(range(1, len(w) - 33)) AS u(i) WHERE len(w) >= 35),
+d AS (SELECT doc_id, i FROM s WHERE h IN (SELECT h FROM s GROUP BY h HAVING COUNT(*) > 1)),
+g AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 35)))) AS gone FROM d GROUP BY doc_id),
+k AS (SELECT w.doc_id, len(w) AS n_words, COALESCE(len(gone), 0) AS n_removed,
+  list_filter(list_transform(w, lambda x, i: CASE WHEN list_contains(COALESCE(gone, []), i) THEN NULL ELSE x END), lambda x: x IS NOT NULL) AS kept
+  FROM w LEFT JOIN g USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k"""
+
+
 @registered
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")

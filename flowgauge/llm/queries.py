@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import jaccard, main_text, mixing, neighbours, quality, sentencepiece, substrings, surrogates, topk
+from flowgauge.llm import jaccard, main_text, mixing, neighbours, quality, sentencepiece, substrings, suffixes, surrogates, topk
 from flowgauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,25 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encoded_with_check(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_suffixes"] = """
+WITH t AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS x FROM documents),
+s AS (SELECT doc_id, i, substr(x, 2 * i - 1, 100) AS h FROM t, unnest(range(1, length(x) // 2 - 48)) AS u(i) WHERE length(x) >= 100),
+m AS (SELECT md5_number(h) AS h, MIN(doc_id) AS least FROM s GROUP BY ALL),
+d AS (SELECT s.doc_id, i FROM s JOIN m ON md5_number(s.h) = m.h WHERE m.least < s.doc_id),
+o AS (SELECT doc_id, i, CASE WHEN i > 50 + LAG(i) OVER w THEN 1 ELSE 0 END AS fresh, LAG(i) OVER w AS prev FROM d WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, run, MIN(i) AS lo, MAX(i) + 50 AS hi FROM (SELECT *, SUM(CASE WHEN prev IS NULL OR i > prev + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM o) GROUP BY ALL),
+g AS (SELECT *, COALESCE(LAG(hi) OVER (PARTITION BY doc_id ORDER BY lo), 1) AS from_ FROM r),
+k AS (SELECT doc_id, CAST(SUM(hi - lo) AS BIGINT) AS n_removed, COUNT(*) AS n_spans, MAX(hi) AS tail, list([from_, lo] ORDER BY lo) AS cuts FROM g GROUP BY doc_id)
+SELECT t.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, COALESCE(n_removed, 0) AS n_removed, COALESCE(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN cuts IS NULL THEN x ELSE array_to_string(list_transform(cuts, lambda c: substr(x, CAST(2 * c[1] - 1 AS BIGINT), CAST(2 * (c[2] - c[1]) AS BIGINT))), '') || substr(x, CAST(2 * tail - 1 AS BIGINT)) END)) AS kept_sha256
+FROM t LEFT JOIN k USING (doc_id)"""
+
+
 @registered
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))

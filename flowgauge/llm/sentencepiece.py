@@ -2,7 +2,7 @@
 
 The automaton holds every ordinary piece. While it reads a text once, each state's output links name all pieces that
 end at the present position; each of them relaxes the best score there. The best path read backwards gives the ids.
-Equal scores: the longest last piece wins. A character that no path reaches becomes its UTF-8 byte pieces (score: ten
+Equal scores: the longest last piece wins. A character that is no piece by itself may become its UTF-8 byte pieces (score: ten
 below the worst piece for each character), so ``decode(encode(text)) == text`` holds for every text.
 
 Spaces are written as U+2581 and one is put in front, as the model files expect; a U+2581 that is in the text is
@@ -78,6 +78,7 @@ class Segmenter(dict):
         for i in plain:
             self.automaton.add_word(vocab.pieces[i], (len(vocab.pieces[i]), vocab.scores[i], i))
         self.automaton.make_automaton()
+        self.singles = {vocab.pieces[i] for i in plain if len(vocab.pieces[i]) == 1}
         self.unknown = min((vocab.scores[i] for i in plain if vocab.scores[i] > -1e8), default=0.0) - 10.0
         inner = any(SPACE_MARK in vocab.pieces[i].lstrip(SPACE_MARK) for i in plain)
         self.stretch = re.compile(r".+" if inner else f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+", re.DOTALL)
@@ -96,9 +97,10 @@ class Segmenter(dict):
             nonlocal done
             while done < upto:
                 done += 1
-                score = best[done - 1] + self.unknown
-                if best[done] is None or score > best[done]:
-                    best[done], came[done] = score, (done - 1, -1)
+                if text[done - 1] not in self.singles:
+                    score = best[done - 1] + self.unknown
+                    if best[done] is None or score > best[done]:
+                        best[done], came[done] = score, (done - 1, -1)
 
         for last, (length, value, i) in self.automaton.iter(text):
             finish(last)

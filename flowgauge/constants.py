@@ -44,7 +44,6 @@ PSI_BINS = 10
 PSI_FLOOR = 1e-6
 PSI_WARN, PSI_ALERT = 0.10, 0.25
 MAE_DEGRADATION = 1.5
-DRIFT_SAMPLE = 2000
 DRIFT_HEAT_C = 15.0
 DRIFT_RAIN_FACTOR = 10.0
 REFERENCE_LAST_MONTH = 9
@@ -54,8 +53,7 @@ RISK_RATIO = (1.5, 0.8)          # HIGH, MODERATE, against the base rate
 
 CLUSTER_COUNTS = [2, 3, 4, 5]
 CLUSTER_RESTARTS = 10
-SILHOUETTE_SAMPLE = 8000
-ATTRIBUTION_SAMPLE = 1000
+KMEANS_ITERATIONS = 300
 FOREST_TREES = 100
 SEED = 42
 

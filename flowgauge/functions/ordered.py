@@ -16,15 +16,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOTS_PER_UNIT = 32768  # slots per e-fold of the value
+SMALLEST = 745.0  # minus the logarithm of the smallest double
 
 
 def slot_of(value: Column) -> Column:
     """Slot number; never decreases when the value grows, and needs no pass for min and max.
 
+    Slots are narrow relative to the value at every size, so very small values are spread like large ones.
+
     Never NULL, so a join on it adds no filter to one side only and both can read one shuffle.
     """
     value = value.cast("double")
-    slot = F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(SLOTS_PER_UNIT)).cast("long")
+    size = F.floor((F.ln(F.when(value != 0, F.abs(value))) + SMALLEST) * SLOTS_PER_UNIT).cast("long")
+    slot = F.when(value < 0, -size).otherwise(size)
     return F.coalesce(slot, F.lit(0).cast("long"))
 
 

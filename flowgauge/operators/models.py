@@ -19,8 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.constants import (
-    ATTRIBUTION_SAMPLE, CLUSTER_COUNTS, CLUSTER_FEATURES, CLUSTER_RESTARTS, FEATURES, FOREST_TREES, SEED,
-    SEQUENCE_CHANNELS, SILHOUETTE_SAMPLE,
+    CLUSTER_COUNTS, CLUSTER_FEATURES, CLUSTER_RESTARTS, FEATURES, FOREST_TREES, KMEANS_ITERATIONS, SEED, SEQUENCE_CHANNELS,
 )
 from flowgauge.functions.fields import sample_order
 from flowgauge.operators.features import standardize, unstandardize
@@ -41,17 +40,6 @@ def time_split(df: DataFrame, split: str) -> tuple[DataFrame, DataFrame]:
     return df.where(before(split)), df.where(~before(split))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input with few splits; an input with many is left as it is.
-
-    Meant for scans: asking a frame with shuffles for its partitions would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def _assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features")
 
@@ -80,14 +68,14 @@ def fit_linear(train: DataFrame, features: Sequence[str] = FEATURES, label: str
         VarianceThresholdSelector(featuresCol="all_features", outputCol="features", varianceThreshold=0.0),
         LinearRegression(labelCol=label, predictionCol=VOLUME, solver="normal", regParam=1e-6),
     ]
-    return Pipeline(stages=stages).fit(spread(train))
+    return Pipeline(stages=stages).fit(train)
 
 
 def fit_forest_regressor(train: DataFrame, features: Sequence[str] = FEATURES, **params) -> PipelineModel:
     stage = RandomForestRegressor(
         labelCol="traffic_volume", predictionCol=VOLUME, featureSubsetStrategy="all", **_forest(**params)
     )
-    return Pipeline(stages=[_assembler(features), stage]).fit(spread(train))
+    return Pipeline(stages=[_assembler(features), stage]).fit(train)
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str] = FEATURES, label: str = "congestion") -> PipelineModel:
@@ -96,7 +84,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str] = FEATURES, label: st
         labelCol=label, predictionCol=CLASS, probabilityCol="_probability", rawPredictionCol="_raw",
         regParam=1.0 / max(train.count(), 1), elasticNetParam=0.0, standardization=True, maxIter=1000,
     )
-    model = Pipeline(stages=[_assembler(features), stage]).fit(spread(train))
+    model = Pipeline(stages=[_assembler(features), stage]).fit(train)
     # unlike a forest, this model keeps its summary in a copy; a stored one has none
     path = work_path(train.sparkSession, "fits", model.uid)
     save_model(model, path)
@@ -112,7 +100,7 @@ def fit_forest_classifier(
         labelCol=label, predictionCol=CLASS, probabilityCol="_probability", rawPredictionCol="_raw",
         **extra, **_forest(**params),
     )
-    return _fitted([_assembler(features), stage], train if weight else spread(train))
+    return _fitted([_assembler(features), stage], train)
 
 
 def balanced_weights(train: DataFrame, label: str) -> DataFrame:
@@ -126,7 +114,7 @@ def balanced_weights(train: DataFrame, label: str) -> DataFrame:
 
 
 def fit_balanced_classifier(train: DataFrame, label: str = "high_risk", **params) -> PipelineModel:
-    return fit_forest_classifier(balanced_weights(spread(train), label), label=label, weight="weight", **params)
+    return fit_forest_classifier(balanced_weights(train, label), label=label, weight="weight", **params)
 
 
 def predict_volume(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -166,7 +154,7 @@ def fit_kmeans(
     The caller keeps the vectors cached.
     """
     def start(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, predictionCol="cluster").fit(vectors)
+        return KMeans(k=k, seed=seed + i, predictionCol="cluster", maxIter=KMEANS_ITERATIONS).fit(vectors)
 
     with ThreadPool(parallelism) as pool:
         fitted = pool.map(inheritable_thread_target(vectors.sparkSession)(start), range(restarts))
@@ -179,9 +167,9 @@ def squared_silhouette(clustered: DataFrame) -> float:
 
 
 def sample_silhouette(
-    clustered: DataFrame, keys: Sequence[str], n: int = SILHOUETTE_SAMPLE, seed: int = SEED, blocks: int = 16
+    clustered: DataFrame, keys: Sequence[str], n: int, seed: int = SEED, blocks: int = 16
 ) -> DataFrame:
-    """Mean Euclidean silhouette of a bounded sample.
+    """Mean Euclidean silhouette of a sample of n rows, for those who ask for one.
 
     Each of the ``blocks`` tasks receives the n sampled points and scores its own share against
     them, so distances stay inside NumPy and no pair is ever a row.
@@ -220,26 +208,21 @@ def sample_silhouette(
 
 
 def select_clusters(
-    df: DataFrame, keys: Sequence[str], counts: Sequence[int] = CLUSTER_COUNTS,
-    restarts: int = CLUSTER_RESTARTS, sample: int = SILHOUETTE_SAMPLE,
+    df: DataFrame, counts: Sequence[int] = CLUSTER_COUNTS, restarts: int = CLUSTER_RESTARTS
 ) -> tuple[DataFrame, KMeansModel]:
-    """(one row per k with its scores, the model of the best k). The smaller k wins a tie."""
+    """(one row per k with its scores, the model of the best k) by the silhouette over all rows. The smaller k wins a tie."""
     vectors = cluster_input(df).persist(StorageLevel.MEMORY_AND_DISK)
     rows, best = [], None
-    for k in counts:
-        model = fit_kmeans(vectors, k, restarts)
-        clustered = model.transform(vectors)
-        score = sample_silhouette(clustered, keys, sample).first()
-        rows.append((
-            k, float(score["silhouette"] or 0.0), float(squared_silhouette(clustered)),
-            float(model.summary.trainingCost), [int(s) for s in model.summary.clusterSizes],
-        ))
-        if best is None or rows[-1][1] > best[0]:
-            best = (rows[-1][1], model)
-    vectors.unpersist()
-    scores = df.sparkSession.createDataFrame(
-        rows, "k int, silhouette double, squared_silhouette double, cost double, sizes array<long>"
-    )
+    try:
+        for k in counts:
+            model = fit_kmeans(vectors, k, restarts)
+            score = float(squared_silhouette(model.transform(vectors)))
+            rows.append((k, score, float(model.summary.trainingCost), [int(s) for s in model.summary.clusterSizes]))
+            if best is None or score > best[0]:
+                best = (score, model)
+    finally:
+        vectors.unpersist()
+    scores = df.sparkSession.createDataFrame(rows, "k int, silhouette double, cost double, sizes array<long>")
     return scores.withColumn("chosen", F.col("k") == best[1].summary.k), best[1]
 
 
@@ -273,10 +256,15 @@ def forecast_rows(df: DataFrame, split: str, channels: Sequence[str] = SEQUENCE_
     )
 
 
-def lag_forecast(df: DataFrame, split: str, nth: int = 3) -> DataFrame:
-    """Test rows with ``forecast`` (linear model on the look-back) and ``persistence`` (previous row)."""
+def lag_forecast(df: DataFrame, split: str, nth: int = 1) -> DataFrame:
+    """Test rows with ``forecast`` (linear model on the look-back) and ``persistence`` (previous row).
+
+    All training windows are used; ``nth`` keeps every nth of them on request.
+    """
     rows = forecast_rows(df, split)
-    train = row_positions(rows.where(before(split))).where(F.col("position") % nth == 0)
+    train = rows.where(before(split))
+    if nth > 1:
+        train = row_positions(train).where(F.col("position") % nth == 0)
     model = LinearRegression(labelCol="target", predictionCol="forecast", regParam=0.01).fit(train)
     scored = model.transform(rows.where(~before(split))).drop("features", "target")
     back = unstandardize(scored, {"forecast": SEQUENCE_CHANNELS[0]}, fit_on=df.where(before(split)))
@@ -288,13 +276,13 @@ def lag_forecast(df: DataFrame, split: str, nth: int = 3) -> DataFrame:
 
 def shapley_attribution(
     model: PipelineModel, rows: DataFrame, background: DataFrame, keys: Sequence[str],
-    n: int = ATTRIBUTION_SAMPLE, orders: int = 4, seed: int = SEED,
+    n: int | None = None, orders: int = 4, seed: int = SEED,
 ) -> DataFrame:
     """(feature, mean_abs, mean_signed): sampled Shapley values of P(class 1).
 
-    For each sampled row and each random feature order, features switch one by one from the
+    For each row (all, or a sample of ``n``) and each random feature order, features switch one by one from the
     background mean to the row's value; the change of the score is the feature's contribution.
-    Orders come in opposite pairs. Hybrid rows: n * 2 * orders * (features + 1), a fixed number.
+    Orders come in opposite pairs. Hybrid rows: rows * 2 * orders * (features + 1), made and scored in a stream.
     """
     spark = rows.sparkSession
     names = model.stages[0].getInputCols()
@@ -306,12 +294,12 @@ def shapley_attribution(
 
     values = F.array(*[F.col(c).cast("double") for c in names])
     means = background.agg(F.array(*[F.avg(F.col(c).cast("double")) for c in names])).scalar()
-    sample = rows.orderBy(sample_order(seed, *[F.col(k) for k in keys]), *keys).limit(n)
+    sample = rows if n is None else rows.orderBy(sample_order(seed, *[F.col(k) for k in keys]), *keys).limit(n)
     hybrids = (
         sample.select(*keys, values.alias("x"), means.alias("mean"))
         .withColumn("order_id", F.explode(F.sequence(F.lit(0), F.lit(len(drawn) - 1))))
         .join(F.broadcast(plan), "order_id")  # 2 * orders rows
-        .repartition(spark.sparkContext.defaultParallelism)  # the sample came out of one task
+        .repartition(*keys, "order_id")  # a row's steps meet where they are made
         .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(width))))
         .withColumn("rank", F.transform(
             F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.array_position("turn", i.cast("int")).cast("int")

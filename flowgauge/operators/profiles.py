@@ -100,7 +100,7 @@ def summary(df: DataFrame) -> DataFrame:
     extremes = extreme_groups(hourly_profile(df), "hour")
     best = extremes.select(F.struct("busiest_hour", "busiest_avg", "quietest_hour", "quietest_avg")).scalar()
     return base.withColumns({
-        "median": q[0], "q3": q[1], "congested_pct": F.lit(100.0) * F.col("congested_n") / F.col("n"), "_x": best,
+        "median": q[0], "q3": q[1], "congested_pct": F.try_divide(F.lit(100.0) * F.col("congested_n"), F.col("n")), "_x": best,
     }).select("*", "_x.*").drop("_x")
 
 

@@ -16,13 +16,17 @@ ATTRIBUTES = ["time_of_day", "day_type", "weather", "traffic_level"]
 
 
 def itemsets(trans: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
-    """(items, n, support) of all frequent item sets; ``items`` is sorted."""
+    """(items, n, support) of all frequent item sets; ``items`` is sorted.
+
+    A missing attribute is in no set; the rows that hold it count where it is rolled up.
+    """
     tuples = trans.groupBy(*ATTRIBUTES).agg(F.count(F.lit(1)).alias("n"))
     total = tuples.agg(F.sum("n")).scalar()
     items = F.array_sort(F.array_compact(F.array(*ATTRIBUTES)))
     return (
         tuples.cube(*ATTRIBUTES)
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n"), *[F.grouping(c).alias(f"_all_{c}") for c in ATTRIBUTES])
+        .where(" AND ".join(f"(({c} IS NULL) = (_all_{c} = 1))" for c in ATTRIBUTES))
         .select(items.alias("items"), "n", (F.col("n") / total).alias("support"))
         .where((F.col("support") >= min_support) & (F.size("items") > 0))
     )

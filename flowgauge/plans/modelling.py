@@ -292,7 +292,7 @@ def model_store(spark, sf_dir):
 def _clusters(spark, sf_dir):
     """(scores per k, path of the stored centres of the best k)."""
     def build(path):
-        scores, best = models.select_clusters(feature_rows(spark, sf_dir), KEYS)
+        scores, best = models.select_clusters(feature_rows(spark, sf_dir))
         scores.write.mode("overwrite").parquet(f"{path}/scores")
         best.write().overwrite().save(f"{path}/model")
 
@@ -313,8 +313,8 @@ def kmeans_select(spark, sf_dir):
 @query("silhouette")
 def silhouette(spark, sf_dir):
     clustered = _clustered(spark, sf_dir)
-    full = models.squared_silhouette(clustered)
-    return models.sample_silhouette(clustered, KEYS).withColumn("squared_silhouette", F.lit(full))
+    score = models.squared_silhouette(clustered)
+    return clustered.agg(F.count(F.lit(1)).alias("n")).withColumn("squared_silhouette", F.lit(score))
 
 
 @query("cluster_profile")
@@ -343,7 +343,7 @@ def shapley_attribution(spark, sf_dir):
     train, test = split_rows(spark, sf_dir)
     model = prepared.model(spark, sf_dir, "forest_classifier")
     values = models.shapley_attribution(model, test, train, KEYS)
-    return models.top_features(values, by="mean_abs")
+    return values
 
 
 def experiment_table(spark, sf_dir):

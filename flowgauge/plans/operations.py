@@ -15,9 +15,8 @@ from flowgauge.streaming import jobs
 
 # --- drift ------------------------------------------------------------------------------------
 
-_SAMPLED = f"""sampled AS (SELECT * FROM feat WHERE {TEST}
-ORDER BY md5(concat_ws('|', '42', series_id, strftime(date_time, '%Y-%m-%d %H:%M:%S'))), series_id, date_time LIMIT 2000),
-drifted AS (SELECT * REPLACE (temp_c + 15.0::DOUBLE AS temp_c, rain_1h * 10.0::DOUBLE AS rain_1h) FROM sampled)"""
+_SAMPLED = f"""drifted AS (SELECT * REPLACE (temp_c + 15.0::DOUBLE AS temp_c, rain_1h * 10.0::DOUBLE AS rain_1h)
+FROM feat WHERE {TEST})"""
 
 
 def _long(source, side):

@@ -18,10 +18,23 @@ def check_columns(columns: Iterable[str]) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header, every column as text. Files whose headers differ raise an error."""
+    """CSV with a header, every column as text. Files whose headers differ raise an error.
+
+    Without an ``ordinal`` column one is made: by file name, block of the file and row in the block. Spark packs files
+    into tasks by size, so the order of its tasks is not the order of the input.
+    """
     df = spark.read.option("header", True).option("enforceSchema", False).csv(path)
     check_columns(df.columns)
-    return df
+    if "ordinal" in df.columns:
+        return df
+    plain = r"^([A-Za-z0-9]+:)/+"  # one form of a path, whatever number of slashes it came with
+    files = spark.createDataFrame(list(enumerate(sorted(df.inputFiles()))), "_file_no long, _file string")
+    files = files.withColumn("_file", F.regexp_replace("_file", plain, "$1/"))
+    # a task's row numbers stay below its bytes, so neighbouring blocks of a file do not overlap
+    place = F.col("_block") + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = df.select("*", F.regexp_replace("_metadata.file_path", plain, "$1/").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    rows = rows.withColumn("_place", place).join(files, "_file", "left")
+    return rows.withColumn("ordinal", (F.shiftleft("_file_no", 42) + F.col("_place")).cast("string")).select(*df.columns, "ordinal")
 
 
 def _parsed(name: str) -> Column:

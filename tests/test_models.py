@@ -122,7 +122,7 @@ def test_sampled_silhouette_equals_the_definition(spark):
 
 
 def test_clusters_are_chosen_by_score(spark, signal):
-    scores, best = models.select_clusters(signal, ["ordinal"], counts=[2, 3], restarts=2, sample=300)
+    scores, best = models.select_clusters(signal, counts=[2, 3], restarts=2)
     rows = scores.orderBy(F.desc("silhouette"), "k").collect()
     assert rows[0]["chosen"] and best.summary.k == rows[0]["k"]
     assert all(sum(r["sizes"]) == signal.count() for r in rows)

@@ -68,3 +68,21 @@ def test_results_append(spark, tmp_path):
 
 def test_the_folder_named_by_the_session_is_used(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_input_order_follows_the_file_names(spark, tmp_path):
+    """Spark reads the larger file first; the first record is still that of the first file."""
+    from flowgauge.constants import RAW_TYPES
+    from flowgauge.operators.cleaning import keep_first
+    from flowgauge.sources.raw import scan_raw
+
+    names = list(RAW_TYPES)
+    filled = {"date_time": "2018-01-01 00:00:00", "holiday": "None", "weather_main": "Clear", "weather_description": "sky"}
+    line = lambda volume, **more: ",".join(str((filled | {"traffic_volume": volume} | more).get(n, 1)) for n in names)
+    (tmp_path / "a.csv").write_text("\n".join([",".join(names), line(11)]))
+    more = [line(22)] + [line(33, date_time=f"2018-01-{d:02d} 05:00:00") for d in range(2, 29)]
+    (tmp_path / "b.csv").write_text("\n".join([",".join(names), *more]))
+    accepted, _ = scan_raw(spark, str(tmp_path))
+    first = keep_first(accepted).where("date_time = timestamp'2018-01-01 00:00:00'").collect()
+    assert [r["traffic_volume"] for r in first] == [11]
+    assert accepted.select("ordinal").distinct().count() == 29

@@ -177,7 +177,7 @@ def test_quality_learns_and_reads_whole_texts(spark):
     rng = np.random.default_rng(1)
     good = [words(rng, int(rng.integers(5, 300))) for _ in range(120)]
     bad = [" ".join(w + "%%%" for w in words(rng, int(rng.integers(5, 300))).split()) for _ in range(120)]
-    model = quality.train([t.encode() for t in good + bad], [1] * 120 + [0] * 120, epochs=12)
+    model = quality.train([t.encode() for t in good + bad], [1] * 120 + [0] * 120, steps=150)
     held = [words(rng, 100), " ".join(w + "%%%" for w in words(rng, 100).split()), words(rng, 3000), words(rng, 3000) + " x%%%" * 1500]
     scores = model.scores([t.encode() for t in held])
     assert scores[0] > 0.7 > scores[1]

@@ -18,7 +18,7 @@ question only. Values with a later attempt are few; a table of them is joined to
 
 Null text stays null, empty stays empty; documents without entities are unchanged. Repeated rows get the same
 replacement. Long texts are handled whole. Input columns named like an output column are replaced. Everything is
-DataFrame functions; texts are shuffled only if the measured override table is too large to be sent to all tasks.
+DataFrame functions; texts are searched once, and shuffled only if the measured override table is too large to be sent to all tasks.
 """
 
 from __future__ import annotations
@@ -49,12 +49,14 @@ SYLLABLES = {
 UPPER, LETTER = r"\p{Lu}", r"[\p{L}'’\-]"
 _words = "|".join(sorted((t for x in TITLES.values() for t in x), key=lambda t: (-len(t), t)))
 _firsts = "|".join(sorted((n for x in FIRST_NAMES.values() for n in x), key=lambda t: (-len(t), t)))
+_title_starts = "".join(sorted({t[0] for x in TITLES.values() for t in x}))
 NAME_WORD = rf"{UPPER}{LETTER}*\p{{L}}"
 
-#: Kind and pattern, tried in this order at each position.
+#: Kind and pattern, tried in this order at each position. Most positions are inside a word of prose: looks at one character
+#: (where the last match ended, \G, a word may also begin) let a branch fail there at once.
 PATTERNS = (
-    ("email", r"[A-Za-z0-9\p{L}._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"),
-    ("secret", r"(?i:token|secret|password|passwd|pwd|api[_\- ]?key|access[_\- ]?key)\s*[:=]\s*\"[^\"\s]{6,}\""),
+    ("email", r"(?:(?<![A-Za-z0-9\p{L}._%+\-])|\G)[A-Za-z0-9\p{L}._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"),
+    ("secret", r"(?=[TtSsPpAa])(?i:token|secret|password|passwd|pwd|api[_\- ]?key|access[_\- ]?key)\s*[:=]\s*\"[^\"\s]{6,}\""),
     ("key", r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,}|eyJ[A-Za-z0-9_\-]{10,}\.[A-Za-z0-9_\-]{10,}\.[A-Za-z0-9_\-]{10,})"),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
     ("ssn", r"\b\d{3}-\d{2}-\d{4}\b"),
@@ -62,8 +64,8 @@ PATTERNS = (
     ("ipv4", r"\b(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)\b"),
     ("ipv6", r"\b(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}\b"),
     ("card", r"(?<![.\d])\b\d(?:[ \-]?\d){12,18}\b"),
-    ("title", rf"\b(?:{_words})\.? {NAME_WORD}(?: {NAME_WORD}){{0,2}}"),
-    ("name", rf"\b(?:{_firsts}) {NAME_WORD}"),
+    ("title", rf"\b(?=[{_title_starts}])(?:{_words})\.? {NAME_WORD}(?: {NAME_WORD}){{0,2}}"),
+    ("name", rf"\b(?=\p{{Lu}})(?:{_firsts}) {NAME_WORD}"),
 )
 PATTERN = "|".join(f"(?:{p})" for _, p in PATTERNS)
 
@@ -184,11 +186,10 @@ def parts_of(match: Column) -> Column:
     return F.when(kind.isin("title", "name"), F.transform(names, word)).otherwise(whole)
 
 
-def entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row for each replaceable part in each document, in text order (repeats included)."""
-    found = docs.where(F.regexp_like(F.col(text), F.lit(PATTERN)))
-    matches = F.explode(F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0)))
-    parts = found.select("doc_id", matches.alias("match")).select("doc_id", F.explode(parts_of(F.col("match"))).alias("part"))
+def entities(found: DataFrame) -> DataFrame:
+    """One row for each replaceable part of the rows' ``pii_matches``, in text order (repeats included)."""
+    matches = found.where(F.size("pii_matches") > 0).select("doc_id", F.explode("pii_matches").alias("match"))
+    parts = matches.select("doc_id", F.explode(parts_of(F.col("match"))).alias("part"))
     return parts.select("doc_id", "part.kind", "part.value")
 
 
@@ -212,15 +213,17 @@ def attempts(values: DataFrame, key: str) -> DataFrame:
 
 def pseudonymized(docs: DataFrame, key: str = "fixed-test-key", text: str = "text") -> DataFrame:
     """docs with the text's entities replaced and ``n_entities`` (long), the number of replaced matches."""
-    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_entities", "pii_override")])
-    found = stored(entities(docs, text).groupBy("doc_id", "kind", "value").count(), "pii-entities")
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ("n_entities", "pii_override", "pii_matches")])
+    # texts are searched once; the matches lie beside them in a written table
+    docs = stored(docs.withColumn("pii_matches", F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0))), "pii-matches")
+    found = stored(entities(docs).groupBy("doc_id", "kind", "value").count(), "pii-entities")
     later = attempts(found.select("kind", "value").distinct(), key)
     entry = F.struct(F.concat_ws("\x1f", "kind", "value").alias("k"), F.col("attempt").alias("v"))
     overrides = found.join(later, ["kind", "value"]).groupBy("doc_id").agg(F.map_from_entries(F.collect_set(entry)).alias("pii_override"))
     overrides = stored(overrides.withColumnRenamed("doc_id", "pii_doc"), "pii-overrides")
     docs = docs.join(overrides, docs["doc_id"].eqNullSafe(overrides["pii_doc"]), "left").drop("pii_doc")
-    hit = F.regexp_like(F.col(text), F.lit(PATTERN))
-    matches = F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0))
+    matches = F.col("pii_matches")
+    hit = F.coalesce(F.size(matches), F.lit(0)) > 0
     rest = F.split(F.col(text), PATTERN, -1)
 
     def replaced(match: Column) -> Column:
@@ -234,4 +237,4 @@ def pseudonymized(docs: DataFrame, key: str = "fixed-test-key", text: str = "tex
     return docs.withColumns({
         text: F.when(hit, F.array_join(pieces, "")).otherwise(F.col(text)),
         "n_entities": F.when(hit, F.size(matches)).otherwise(F.lit(0)).cast("long"),
-    }).drop("pii_override")
+    }).drop("pii_override", "pii_matches")

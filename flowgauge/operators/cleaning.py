@@ -25,9 +25,16 @@ def keep_first(df: DataFrame, keys: Sequence[str] = KEYS, order: str = "ordinal"
     return df.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
 
 
+def _month() -> Column:
+    return F.coalesce(F.month("date_time"), F.lit(0))
+
+
 def month_medians(df: DataFrame) -> DataFrame:
-    """Median valid temperature per calendar month: at most 12 rows."""
-    good = df.where(F.col("temp") != ZERO_KELVIN).withColumn("month_no", F.month("date_time"))
+    """Median valid temperature per calendar month: at most 13 rows, month 0 standing for undated rows.
+
+    The month is never NULL, so a join on it adds no filter below keep-first and both readers share its shuffle.
+    """
+    good = df.where(F.col("temp") != ZERO_KELVIN).withColumn("month_no", _month())
     q = exact_quantiles(good, F.col("temp"), [0.5], ["month_no"])
     return q.select("month_no", F.col("q")[0].alias("median_temp"))
 
@@ -36,10 +43,11 @@ def impute_zero_kelvin(df: DataFrame, medians: DataFrame | None = None) -> DataF
     """Zero-Kelvin readings take the median of their month; other rows keep theirs."""
     medians = month_medians(df) if medians is None else medians
     bad = F.col("temp") == ZERO_KELVIN
-    joined = df.withColumn("_month", F.month("date_time")).join(
-        F.broadcast(medians), F.col("_month") == F.col("month_no"), "left"  # <= 12 rows
+    joined = df.withColumn("_month", _month()).join(
+        F.broadcast(medians), F.col("_month") == F.col("month_no"), "left"  # <= 13 rows
     )
-    return joined.withColumn("temp", F.when(bad, F.col("median_temp")).otherwise(F.col("temp"))).select(*df.columns)
+    median = F.when(F.col("date_time").isNotNull(), F.col("median_temp"))
+    return joined.withColumn("temp", F.when(bad, median).otherwise(F.col("temp"))).select(*df.columns)
 
 
 def is_rain_spike() -> Column:

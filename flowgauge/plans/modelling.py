@@ -277,7 +277,7 @@ def top_features(spark, sf_dir):
     return models.top_features(feature_importance(spark, sf_dir))
 
 
-@query("model_store")
+@query("model_store", f"WITH {FEAT} SELECT count(*) AS n, 0.0::DOUBLE AS max_difference FROM feat WHERE {TEST}")
 def model_store(spark, sf_dir):
     """A stored copy must predict what the original predicts: the largest difference over the test rows."""
     original = prepared.model(spark, sf_dir, "linear")

@@ -8,7 +8,7 @@ from flowgauge.operators import advice, cleaning, drift, models, runs, scoring,
 from flowgauge.plans import prepared
 from flowgauge.plans.checks import CLEAN, FEAT, OBS, STAMP, TEST, TRAIN, time_of_day
 from flowgauge.plans.modelling import KEYS, experiment_table
-from flowgauge.plans.prepared import SPLIT, clean_rows, feature_rows, place
+from flowgauge.plans.prepared import SPLIT, clean_rows, feature_rows, place, split_rows
 from flowgauge.plans.registry import query
 from flowgauge.sources.views import event_columns, requests_from_events, score_requests_view
 from flowgauge.streaming import jobs
@@ -134,19 +134,33 @@ coalesce(CASE WHEN event_id % 37 = 0 THEN 'banana' WHEN event_id % 5 <> 0 THEN C
 coalesce(CASE WHEN event_id % 11 = 0 THEN true WHEN event_id % 3 = 0 THEN false END, false) AS is_holiday FROM events)"""
 
 
-@query("request_validation", f"""WITH {_REQUESTS} SELECT * REPLACE (CAST(hour AS DOUBLE) AS hour), concat_ws(',',
+_CHECKED = f"""{_REQUESTS}, checked AS (SELECT * REPLACE (CAST(hour AS DOUBLE) AS hour), concat_ws(',',
 CASE WHEN hour IS NULL OR hour NOT BETWEEN 0 AND 23 THEN 'hour' END,
 CASE WHEN day_of_week IS NULL OR day_of_week NOT BETWEEN 0 AND 6 THEN 'day_of_week' END,
 CASE WHEN month IS NULL OR month NOT BETWEEN 1 AND 12 THEN 'month' END, CASE WHEN temp_c IS NULL THEN 'temp_c' END,
 CASE WHEN rain_1h < 0 THEN 'rain_1h' END, CASE WHEN snow_1h < 0 THEN 'snow_1h' END,
 CASE WHEN clouds_all NOT BETWEEN 0 AND 100 THEN 'clouds_all' END,
-CASE WHEN weather_main NOT IN ({', '.join(f"'{w}'" for w in WEATHER)}) THEN 'weather_main' END) AS errors FROM requests""",
-       ["temp_c", "rain_1h", "snow_1h", "clouds_all"])
-def request_validation(spark, sf_dir):
-    checked = scoring.validate_requests(score_requests_view(spark, sf_dir))
+CASE WHEN weather_main NOT IN ({', '.join(f"'{w}'" for w in WEATHER)}) THEN 'weather_main' END) AS errors FROM requests)"""
+_REQUEST_NUMBERS = ["temp_c", "rain_1h", "snow_1h", "clouds_all"]
+
+
+def _listed_errors(checked):
     return checked.withColumns({"errors": F.array_join("errors", ","), "hour": F.col("hour").cast("double")})
 
 
+@query("request_validation", f"WITH {_CHECKED} SELECT * FROM checked", _REQUEST_NUMBERS)
+def request_validation(spark, sf_dir):
+    return _listed_errors(scoring.validate_requests(score_requests_view(spark, sf_dir)))
+
+
+@query("rejected_requests", f"WITH {_CHECKED} SELECT * FROM checked WHERE errors <> ''", _REQUEST_NUMBERS)
+def rejected_requests(spark, sf_dir):
+    """The requests that scoring leaves out, stored with their reasons."""
+    path = place(spark, sf_dir, "rejected_requests")
+    scoring.split_requests(score_requests_view(spark, sf_dir))[1].write.mode("overwrite").parquet(path)
+    return _listed_errors(spark.read.parquet(path))
+
+
 def _served(spark, sf_dir):
     return [prepared.model(spark, sf_dir, n) for n in ("forest_regressor", "forest_classifier")]
 
@@ -157,6 +171,22 @@ def score_requests(spark, sf_dir):
     return scoring.score_requests(valid, *_served(spark, sf_dir))
 
 
+@query("scored_requests_hold", f"""WITH {_CHECKED} SELECT request_id, temp_c, rain_1h, snow_1h, clouds_all, weather_main, is_holiday,
+true AS probability_in_range, true AS class_fits, true AS risk_fits, true AS volume_in_range FROM checked WHERE errors = ''""", _REQUEST_NUMBERS)
+def scored_requests_hold(spark, sf_dir):
+    """What must hold for every scored request whatever the forests learned: a mean of training volumes stays among them."""
+    p = F.col("congestion_probability")
+    train = split_rows(spark, sf_dir)[0]
+    lowest, highest = (train.agg(f("traffic_volume")).scalar() for f in (F.min, F.max))
+    return score_requests(spark, sf_dir).select(
+        "request_id", "temp_c", "rain_1h", "snow_1h", "clouds_all", "weather_main", "is_holiday",
+        p.between(0, 1).alias("probability_in_range"),
+        # the shown probability is rounded, so the edge itself may belong to either side
+        ((p == 0.5) | (F.col("congestion_predicted") == (p > 0.5))).alias("class_fits"),
+        (p.isin(0.4, 0.75) | (F.col("risk_level") == fields.risk_of_probability(p))).alias("risk_fits"),
+        F.col("predicted_traffic_volume").between(lowest - 0.05, highest + 0.05).alias("volume_in_range"))
+
+
 # --- recommendation ---------------------------------------------------------------------------
 
 _RULE_ROWS = ", ".join(
@@ -246,6 +276,13 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query("stream_rejected", f"WITH {_CHECKED} SELECT * FROM checked WHERE errors <> ''", _REQUEST_NUMBERS)
+def stream_rejected(spark, sf_dir):
+    out = _drained(spark, sf_dir, "rejected", lambda o, c: jobs.stream_rejected(
+        requests_from_events(_event_stream(spark, sf_dir)), o, c))
+    return _listed_errors(spark.read.parquet(out))
+
+
 @query("stream_clean", f"WITH {OBS} SELECT DISTINCT series_id, {STAMP} FROM obs")
 def stream_clean(spark, sf_dir):
     """The kept keys; which repeat is kept depends on arrival."""
@@ -254,7 +291,8 @@ def stream_clean(spark, sf_dir):
     return spark.read.parquet(out).select(*KEYS)
 
 
-@query("stream_drift")
+@query("stream_drift", f"""WITH {FEAT}, {_CURRENT}, {_psi('current_rows')}
+SELECT feature, psi, {_STATUS.format(x='psi')} AS status, CAST(0 AS BIGINT) AS batch_id FROM psi""", ["psi"])
 def stream_drift(spark, sf_dir):
     reference, _ = _sides(spark, sf_dir)
     feature_rows(spark, sf_dir)
@@ -273,10 +311,9 @@ def stream_drift(spark, sf_dir):
     return spark.read.parquet(_drained(spark, sf_dir, "drift", start))
 
 
-@query("stream_hourly", f"""WITH {OBS}, w AS (SELECT strftime(date_time, '%Y-%m-%d %H:%M:%S') AS hour_start, weather_main, count(*) AS n,
-avg(traffic_volume) AS avg_volume, min(date_time) AS opened FROM obs GROUP BY 1, 2)
-SELECT * EXCLUDE (opened) FROM w WHERE opened + INTERVAL 1 HOUR <= (SELECT max(date_time) FROM obs) - INTERVAL 1 HOUR""", ["avg_volume"])
+@query("stream_hourly", f"""WITH {OBS} SELECT strftime(date_time, '%Y-%m-%d %H:%M:%S') AS hour_start, weather_main, count(*) AS n,
+avg(traffic_volume) AS avg_volume FROM obs GROUP BY 1, 2""", ["avg_volume"])
 def stream_hourly(spark, sf_dir):
-    """Hours whose end the watermark has passed."""
+    """Every hour that arrived, the open ones at the end as well."""
     out = _drained(spark, sf_dir, "hourly", lambda o, c: jobs.stream_hourly(_raw_stream(spark, sf_dir), o, c))
-    return spark.read.parquet(out)
+    return jobs.read_hourly(spark, out)

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from flowgauge.sources.views import observations
 from flowgauge.operators import cleaning, features
 
 
@@ -98,3 +99,10 @@ def test_standardize_uses_population_deviation_and_inverts(spark):
     assert (spread["m"], spread["s"], spread["c"]) == (pytest.approx(0.0), pytest.approx(1.0), 0.0)
     back = features.unstandardize(scaled, {"v": "v"}, fit_on=df)
     assert sorted(r["v"] for r in back.collect()) == pytest.approx([0, 1, 1, 2, 10])
+
+
+def test_clean_chain_reads_the_raw_table_once(spark, sf_dir):
+    chain = cleaning.clean(observations(spark, sf_dir))
+    chain.collect()
+    final = chain._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final

@@ -45,8 +45,8 @@ _WORST = f"""worst AS (SELECT psi AS worst_psi, CASE WHEN psi > 0 THEN feature E
 
 
 def _sides(spark, sf_dir):
-    rows = feature_rows(spark, sf_dir)
-    return drift.seasonal_reference(rows, SPLIT), rows.where(~models.before(SPLIT))
+    train, test = split_rows(spark, sf_dir)
+    return drift.seasonal_reference(train, SPLIT), test
 
 
 def _drifted(spark, sf_dir):

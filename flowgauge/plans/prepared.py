@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flowgauge.operators import cleaning, features, models
@@ -19,6 +21,7 @@ from flowgauge.sources import tables
 from flowgauge.sources.views import observations
 
 SPLIT = "2024-01-24"
+MONTH_COLUMNS = ("year", "month_part")
 
 _done: set[str] = set()
 _schemas: dict[str, StructType] = {}
@@ -35,11 +38,15 @@ def once(path: str, build: Callable[[str], None]) -> str:
     return path
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame:
-    """A table written by this application; its schema is read from the files only once."""
+def dated(spark: SparkSession, path: str) -> DataFrame:
+    """A table written by this application, with its partition columns; its schema is read from the files only once."""
     if path not in _schemas:
         _schemas[path] = tables.read_by_month(spark, path).schema
-    return tables.read_by_month(spark, path, _schemas[path]).drop("year", "month_part")
+    return tables.read_by_month(spark, path, _schemas[path])
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    return dated(spark, path).drop(*MONTH_COLUMNS)
 
 
 def clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +66,13 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return models.time_split(features.high_risk_label(feature_rows(spark, sf_dir)), SPLIT)
+    """(train, test); each opens only the months on its side of the split."""
+    feature_rows(spark, sf_dir)
+    rows = features.high_risk_label(dated(spark, place(spark, sf_dir, "features")))
+    month, day = F.col("year") * 12 + F.col("month_part"), date.fromisoformat(SPLIT)
+    at = day.year * 12 + day.month
+    train, test = models.time_split(rows.where(month <= at), SPLIT)[0], models.time_split(rows.where(month >= at), SPLIT)[1]
+    return train.drop(*MONTH_COLUMNS), test.drop(*MONTH_COLUMNS)
 
 
 FITS = {

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.constants import FEATURES
 from flowgauge.operators import advice, features, metrics, models, runs, scoring
+from flowgauge.plans import prepared
 from flowgauge.sources import tables
 
 SPLIT = "2013-01-22"
@@ -179,3 +180,10 @@ def test_runs_are_appended_and_read_back(spark, tmp_path):
     assert {r["value"] for r in runs.compare_runs(table).collect()} == {2.0, 3.0}
     assert spark.range(1).select(runs.recorded_metric(table, "demo", "mae").alias("m")).first()["m"] == 2.0
     assert table.first()["params"] == {"n": "7"}
+
+
+def test_split_opens_only_its_months(spark, sf_dir):
+    for side in prepared.split_rows(spark, sf_dir):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: []" not in plan and "PartitionFilters: [" in plan
+        assert not {"year", "month_part"} & set(side.columns)

@@ -102,6 +102,39 @@ def test_suffixes(odd, odd_rows):
     assert keyed(suffixes.deduplicated(odd)) == sorted(expected, key=repr)
 
 
+def test_suffixes_of_a_hot_passage_never_meet_in_one_group(spark, monkeypatch):
+    """A passage in different surroundings: equal strings of its anchors are reduced before any group is formed."""
+    rng = np.random.default_rng(8)
+    passage = bytes(rng.integers(97, 123, 70, dtype=np.uint8)).decode()
+    texts = ["".join(chr(c) for c in rng.integers(97, 123, 40)) + passage + "".join(chr(c) for c in rng.integers(97, 123, 40)) for _ in range(40)]
+    sorter = suffixes._sorter
+
+    def watched(length):
+        inner = sorter(length)
+
+        def run(pdf):
+            assert not pdf["data"].duplicated().any(), "equal strings in one group"
+            return inner(pdf)
+
+        return run
+
+    monkeypatch.setattr(suffixes, "_sorter", watched)
+    monkeypatch.setattr(suffixes, "HOT_STRETCHES", 10)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in suffixes.deduplicated(df).collect()}
+    assert got[0]["n_removed"] == 0 and len(got) == 40
+    for i in range(1, 40):
+        # a byte beside the passage may agree with an earlier document's, which lengthens the repeat
+        least = {texts[j][k:k + 50] for j in range(i) for k in range(len(texts[j]) - 49)}
+        gone = np.zeros(150, bool)
+        for k in range(101):
+            if texts[i][k:k + 50] in least:
+                gone[k:k + 50] = True
+        assert gone[40:110].all()
+        kept = "".join(c for c, g in zip(texts[i], gone, strict=True) if not g)
+        assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (int(gone.sum()), hashlib.sha256(kept.encode()).hexdigest())
+
+
 def test_difference_cover_names():
     rng = np.random.default_rng(0)
     for _ in range(80):

@@ -154,10 +154,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TA
     """(query_id, rank, vec_id, score): the k largest cosines found; both sides are (vec_id, vector array<double>)."""
     nonzero = F.exists("vector", lambda x: x != 0)
     vectors, queries = stored(vectors.where(nonzero), "ann-vectors"), stored(queries.where(nonzero).dropDuplicates(["vec_id"]), "ann-queries")
-    # equal vectors are one class; its k + 1 smallest ids are all that can be in a result
+    # equal vectors are one class, numbered in its stored table; its k + 1 smallest ids are all that can be in a result
     digest = F.sha2(F.to_json(F.struct("vector")), 256).alias("class_key")
     keyed = vectors.select("vec_id", "vector", digest)
-    lead = keyed.groupBy("class_key").agg(F.min("vec_id").alias("class_id"), F.first("vector").alias("vector"))
+    lead = keyed.groupBy("class_key").agg(F.first("vector").alias("vector")).withColumn("class_id", F.monotonically_increasing_id())
     lead = stored(lead.select("class_key", "class_id", "vector"), "ann-classes")
     ranked = keyed.select("class_key", "vec_id").distinct().withColumn("place", F.row_number().over(W.partitionBy("class_key").orderBy("vec_id"))).where(F.col("place") <= k + 1)
     members = ranked.join(lead.select("class_key", "class_id"), "class_key").select("class_id", "vec_id")
@@ -181,7 +181,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, tables: int = TA
     source = lead.select("class_id", F.col("vector").alias("candidate"))
     pairs = found.join(source, "class_id").join(queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query")), "query_id")
     scored = pairs.select("query_id", "class_id", cosine("query", "candidate").alias("score"))
-    named = scored.join(members, "class_id").where("vec_id <> query_id").select("query_id", "vec_id", "score")
+    # an id with several vectors counts once, with the best of their scores
+    named = scored.join(members, "class_id").where("vec_id <> query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     result = stored(named.withColumn("rank", place).where(F.col("rank") <= k), "ann-result")
     # queries with too few candidates are compared with every vector

@@ -6,15 +6,15 @@ times the block's maximum (minimum, where the component is negative). Blocks are
 a query stops as soon as the bound falls below its k-th best score. At equal bound it goes on, because a
 smaller id may win the tie, so the result is exact.
 
-**Plan.** Vectors are dealt by a hash of the id into shards of a bounded number of rows, queries into groups of a
+**Plan.** Equal rows are first reduced to one. Vectors are dealt by a hash of id and components into shards of a bounded number of rows, queries into groups of a
 bounded number of rows; each pair of shard and group is one task of fixed memory, and returns k rows for each query. These
 partial results are ranked by one window over the queries. Shards and groups are counted from the table's
 rows, so the work is the stated query set against all rows, in blocks.
 
 Components x become floor(256 * x) in double. Vectors that are null, empty or hold null or non-finite components take no part, nor
 do vectors whose length differs from that of most vectors' (counted; ties: the longer). Fewer candidates than k: all. Ties: smaller vec_id.
-Rows with equal vec_id are one another's "own row" and never candidates of each other; a repeated query row
-gives its results once. Null vec_ids take no part. Other columns are ignored. An empty table gives no rows.
+Rows with equal vec_id are one another's "own row" and never candidates of each other; as candidates they are one, with the best
+of their scores, so k different ids are returned wherever there are so many. A repeated query row gives its results once. Null vec_ids take no part. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -47,9 +47,13 @@ def quantized(vectors: DataFrame) -> DataFrame:
 
 
 def _merge(best_s, best_i, rows, scores, ids, k):
-    """Keep the k best (score, then smaller id) of the present best and new candidates, for the given query rows."""
+    """Keep the k best ids (score, then smaller id) of the present best and new candidates, for the given query rows."""
     s = np.concatenate([best_s[rows], scores], axis=1)
     i = np.concatenate([best_i[rows], np.broadcast_to(ids, scores.shape)], axis=1)
+    if np.isin(ids, best_i[rows]).any():  # an id that already has a place keeps its best score only
+        order = np.lexsort((-s, i), axis=1)
+        s, i = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
+        s[:, 1:][i[:, 1:] == i[:, :-1]] = -np.inf
     order = np.lexsort((i, -s), axis=1)[:, :k]
     best_s[rows], best_i[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
 
@@ -78,6 +82,9 @@ def search(query_ids, queries, ids, matrix, k: int, block_rows: int = BLOCK_ROWS
             own = ids[lo:lo + block_rows]
             scores = queries[rows] @ matrix[lo:lo + block_rows].T
             scores[query_ids[rows][:, None] == own[None, :]] = -np.inf
+            begins = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            if len(begins) < len(own):  # copies of an id stand side by side: the best of them counts
+                scores, own = np.maximum.reduceat(scores, begins, axis=1), own[begins]
             if scores.shape[1] > 4 * k:  # only those that reach the block's k-th score can enter
                 kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1:k]
                 keep = np.flatnonzero(((scores >= kth) & (scores > -np.inf) & (scores >= best_s[rows, k - 1:k])).any(axis=0))
@@ -90,11 +97,11 @@ def search(query_ids, queries, ids, matrix, k: int, block_rows: int = BLOCK_ROWS
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k highest inner products; both sides are (vec_id, vector array<double>)."""
-    vectors, queries = stored(vectors, "topk-vectors"), stored(queries.dropDuplicates(["vec_id"]), "topk-queries")
+    vectors, queries = stored(vectors.select("vec_id", "vector").distinct(), "topk-vectors"), stored(queries.dropDuplicates(["vec_id"]), "topk-queries")
     shards = max(1, -(-vectors.count() // SHARD_ROWS))
     groups = max(1, -(-queries.count() // GROUP_ROWS))
     spread = F.struct(F.lit(False).alias("is_query"), "vec_id", "vector")
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int")
     left = vectors.select(shard.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"), spread.alias("row"))
     group = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)).cast("int")
     right = queries.select(
@@ -112,6 +119,6 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     found = both.groupBy("shard", "part").applyInPandas(cell, "query_id long, vec_id long, score double")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    # equal ids are one row's copies: only the best of them counts
+    # equal ids are one row's copies, also in several shards: only the best of them counts
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -206,6 +206,54 @@ def test_neighbours_recall(spark):
     assert neighbours.nearest(few, few.where("vec_id = 0")).count() == 2
 
 
+def repeated_vectors(spark):
+    """Sixty ids: each vector six times, every third id with a second vector, six times as well."""
+    x = np.random.default_rng(6).normal(size=(60, 8)).astype(np.float32).astype(float)
+    y = np.random.default_rng(7).normal(size=(60, 8)).astype(np.float32).astype(float)
+    rows = [(i, [float(v) for v in x[i]]) for i in range(60)] + [(i, [float(v) for v in y[i]]) for i in range(1, 60, 3)]
+    return x, y, spark.createDataFrame(rows * 6, "vec_id long, embedding array<float>")
+
+
+def best_ids(score_x, score_y, own):
+    s = {i: max([score_x[i]] + [score_y[i]] * (i % 3 == 1)) for i in range(60) if i != own}
+    return [(i, s[i]) for i in sorted(s, key=lambda i: (-s[i], i))[:5]]
+
+
+@pytest.mark.parametrize("shard_rows", [8192, 20])
+def test_top_k_of_repeated_ids(spark, monkeypatch, shard_rows):
+    monkeypatch.setattr(topk, "SHARD_ROWS", shard_rows)
+    x, y, df = repeated_vectors(spark)
+    q, p = np.floor(256 * x), np.floor(256 * y)
+    table = topk.quantized(topk.usable(df))
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk.top_k(table, table.where("vec_id % 30 = 0")).collect()}
+    assert got == {(a, k + 1): pair for a in (0, 30) for k, pair in enumerate(best_ids(q @ q[a], p @ q[a], a))}
+
+
+def test_top_k_of_an_id_across_blocks():
+    x = np.random.default_rng(9).normal(size=(90, 4))
+    ids = np.arange(90) // 7
+    got = topk.search(np.array([3, 99]), x[:2], ids, x, 5, block_rows=4)
+    for row, own in ((0, 3), (1, 99)):
+        s = {i: (x[ids == i] @ x[row]).max() for i in set(ids.tolist()) - {own}}
+        mine = got[got["query_id"] == own]
+        assert mine["vec_id"].tolist() == sorted(s, key=lambda i: (-s[i], i))[:5]
+        assert mine["score"].tolist() == pytest.approx([s[i] for i in mine["vec_id"]])
+
+
+def test_neighbours_of_repeated_ids(spark, monkeypatch):
+    x, y, df = repeated_vectors(spark)
+    u, v = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (x, y))
+    table = topk.usable(df)
+    expected = {(a, k + 1): pair for a in (0, 30) for k, pair in enumerate(best_ids(u @ u[a], v @ u[a], a))}
+    for probe in (neighbours.PROBES, 1):  # with one bucket and table most candidates come from the exact search
+        found = neighbours.nearest(table, table.where("vec_id % 30 = 0"), tables=6 if probe > 1 else 1, probe=probe).collect()
+        got = {(r["query_id"], r["rank"]): r for r in found}
+        assert sorted(got) == sorted(expected)
+        if probe == 1:
+            assert {k: r["vec_id"] for k, r in got.items()} == {k: i for k, (i, _) in expected.items()}
+            assert [r["score"] for _, r in sorted(got.items())] == pytest.approx([s for _, (_, s) in sorted(expected.items())])
+
+
 def test_quality_learns_and_reads_whole_texts(spark):
     rng = np.random.default_rng(1)
     good = [words(rng, int(rng.integers(5, 300))) for _ in range(120)]

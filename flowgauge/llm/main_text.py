@@ -7,7 +7,9 @@ pages: ``labelled_pages`` writes them from templates (layouts, class names and b
 fixed seed), so a label is known for each block. Training is bounded by ``TRAIN_PAGES`` pages and happens once on the driver;
 the weights, a few thousand numbers, travel with the tasks. Pages are then independent rows without any shuffle.
 
-Text rules: scripts, styles, comments, forms, hidden parts and the head are no blocks; character references are decoded;
+Text rules: scripts, styles, comments, controls, hidden parts, descriptions in drawings, annotations of formulas and the head are no
+blocks; a form is an ancestor like others. The head ends at the first tag or text that can't stand in it, a list of options at the
+next block. Character references are decoded;
 white space inside a block becomes one space; blocks keep page order and are joined by a newline.
 Null and empty pages and pages without article blocks give the empty text. Nothing is cut: very long pages
 are handled whole. Repeated rows give the same text. Output columns replace input columns of the same name.
@@ -34,12 +36,15 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-SKIPPED_TAGS = frozenset("script style noscript template head title form button select option textarea svg iframe object canvas math datalist input label".split())
+SKIPPED_TAGS = frozenset("script style noscript template head title button select option textarea iframe canvas datalist input".split())
+HEAD_TAGS = frozenset("base basefont bgsound link meta title noscript noframes style script template head".split())
+SKIPPED_INSIDE = {"desc": "svg", "metadata": "svg", "annotation": "math", "annotation-xml": "math"}
+CHOICES = frozenset("select datalist option optgroup".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCK_TAGS - {"body", "html"}
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("article aside body div footer header main nav section table ul ol dl td th blockquote form figure".split())
-SPACE = re.compile(r"[\s​]+")
+SPACE = re.compile(r"\s+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 NAME = re.compile(r"[A-Za-z]+")
 
@@ -78,9 +83,20 @@ class Blocks(HTMLParser):
             if self.stack[i][0] in scopes:
                 return
 
+    def end_head(self) -> None:
+        while any(t == "head" for t, _, _ in self.stack):
+            self.pop()
+
     def handle_starttag(self, tag, attrs):
+        if tag == "head" and any(t != "html" for t, _, _ in self.stack):
+            return
+        if tag == "body" or (tag not in HEAD_TAGS and self.stack and self.stack[-1][0] == "head"):
+            self.end_head()
         if tag in BLOCK_TAGS:
             self.flush()
+            if tag != "hr":
+                while any(t in ("select", "datalist") for t, _, _ in self.stack) and self.stack[-1][0] in CHOICES:
+                    self.pop()
         if tag in CLOSES_P:
             self.close_to({"p"})
         if tag in SIBLINGS:
@@ -91,7 +107,7 @@ class Blocks(HTMLParser):
             return
         given = {k: v or "" for k, v in attrs}
         names = tuple(x.lower() for k in ("class", "id", "role") for x in NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", given.get(k, ""))))
-        skipped = tag in SKIPPED_TAGS or "hidden" in given or given.get("aria-hidden") == "true" or bool(HIDDEN.search(given.get("style", "")))
+        skipped = tag in SKIPPED_TAGS or any(t == SKIPPED_INSIDE.get(tag) for t, _, _ in self.stack) or "hidden" in given or given.get("aria-hidden") == "true" or bool(HIDDEN.search(given.get("style", "")))
         self.stack.append((tag, names, skipped))
         self.skipping += skipped
         self.links += tag == "a"
@@ -104,6 +120,8 @@ class Blocks(HTMLParser):
             self.close_to({tag}, barrier - {tag})
 
     def handle_data(self, data):
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
+            self.end_head()
         if not self.skipping:
             self.parts.append(data)
             if self.links:
@@ -204,7 +222,7 @@ def train(pages: list[tuple[str, list[int]]], epochs: int = EPOCHS, rate: float
 
 def labelled_pages(count: int = TRAIN_PAGES, seed: int = 1) -> list[tuple[str, list[int]]]:
     """Pages written from templates with a label (1: article) for each leaf block."""
-    rng = np.random.default_rng(seed)
+    rng, wide = np.random.default_rng(seed), np.random.default_rng([seed, 1])
     pick = lambda *xs: xs[rng.integers(len(xs))]
     syllables = "an ber co den el fi gar ho in jo kel lo mi nor os pa qui ra sen tu ur ver wi ya zo th st er on re".split()
     word = lambda: "".join(pick(*syllables) for _ in range(rng.integers(1, 4)))
@@ -283,7 +301,7 @@ def labelled_pages(count: int = TRAIN_PAGES, seed: int = 1) -> list[tuple[str, l
         return f"<{(t := pick('section', 'div', 'aside'))}{names}>{head}{inner}</{t}>", [*labels, *[0] * n]
 
     def form():
-        return f'<form action="/{word()}"><label>{words(1, 2)}</label><input name="q"><button>{word()}</button></form>', []
+        return f'<form action="/{word()}"><label>{words(1, 2)}</label><input name="q"><button>{word()}</button></form>', [0]
 
     def hidden():
         return pick(f"<script>var t='<p>{words(2, 5)}</p>';</script>", f"<style>.{word()}{{margin:0}}</style>", f"<!-- {words(1, 3)} -->", f"<noscript>{words(2, 5)}</noscript>"), []
@@ -367,7 +385,10 @@ def labelled_pages(count: int = TRAIN_PAGES, seed: int = 1) -> list[tuple[str, l
             tag, names = pick(("footer", ""), ("footer", attr("site-footer", "bottom")), ("div", named("footer", "site-footer", "copyright", "legal")))
             parts.append(f"<{tag}{names}>{text}</{tag}>")
             labels.append(0)
-        pages.append((f"<!DOCTYPE html><html><head><title>{title}</title></head><body>{''.join(parts)}" + pick("</body></html>", ""), labels))
+        inside = "".join(parts)
+        if wide.random() < 0.2:  # a form as wide as the page
+            inside = f'<form method="post" action="/{title[:3].strip()}">{inside}</form>'
+        pages.append((f"<!DOCTYPE html><html><head><title>{title}</title></head><body>{inside}" + pick("</body></html>", ""), labels))
     return [(h, x) for h, x in pages if len(blocks_of(h)) == len(x) and x]
 
 

@@ -291,6 +291,36 @@ def test_main_text():
     assert main_text.main_text(page, *model) == "A & B\nSome text here. More."
 
 
+PARAGRAPHS = [f"Sentence {w} is long enough to be read, and it has a second part. It ends here." for w in ("one", "two", "three")]
+ARTICLE = "<article><h1>A title</h1>" + "".join(f"<p>{p}</p>" for p in PARAGRAPHS) + "</article>"
+MENU = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/b'>News</a></li></ul></nav>"
+WANTED = "\n".join(["A title", *PARAGRAPHS])
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>t</title><meta charset=utf-8><body>{MENU}{ARTICLE}<footer>&copy; x</footer></body></html>",
+    f"<html><head><title>t</title><script>var x;</script>{ARTICLE}",
+    f"<html><head><noscript><link href=x><body>{MENU}{ARTICLE}",
+    f"<html><head><title>t</title></head><body><form method='post' action='/p'>{MENU}{ARTICLE}<footer>&copy; x</footer></form></body></html>",
+    f"<html><head></head><body>{MENU}<form action='/s'><input name=q>{ARTICLE}<footer>&copy; x</footer></body></html>",
+    f"<html><head></head><body>{MENU}<select><option>one<option>two{ARTICLE}<footer>&copy; x</footer></body></html>",
+    f"<html><head></head><body>{MENU}<form action='/q'><label>Search</label><input name=q><button>Go</button></form>{ARTICLE}</body></html>",
+])
+def test_main_text_keeps_the_article(page):
+    assert main_text.main_text(page, *main_text.trained()) == WANTED
+
+
+def test_nothing_inside_a_block_is_dropped_or_changed():
+    inline = {
+        "an <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b": "an x=1 b", "a <label>name</label> b": "a name b", "a\u200bb  c": "a\u200bb c",
+        "a <svg><title>t</title><desc>d</desc><text>shown</text></svg> b": "a shown b", "a <object data=x>instead</object> b": "a instead b",
+        "a <math><semantics><mi>y</mi><annotation>\\y</annotation></semantics></math>": "a y", "a <label>open b": "a open b",
+        "a <select><option>no</select> b <button>no</button>": "a b", "a <b hidden>no</b> b <textarea>no</textarea>": "a b",
+    }
+    for html, text in inline.items():
+        assert [t for _, t, _ in main_text.blocks_of(f"<body><p>{html}</p><p>next</p>")] == [text, "next"]
+
+
 def test_main_text_rows(spark):
     df = spark.createDataFrame([(1, "u", None, "z"), (2, "u", "", "z"), (2, "u", "", "z"), (3, None, "<p", "z")], "page_id long, url string, html string, text string")
     rows = main_text.extract(df).collect()

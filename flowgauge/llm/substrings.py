@@ -1,4 +1,4 @@
-"""Substring dedup by relative Lempel-Ziv parsing: words covered by a window that starts elsewhere too are removed.
+"""Substring dedup by content-defined window hashing, in place of relative Lempel-Ziv parsing: words covered by a window that starts elsewhere too are removed.
 
 The corpus is its own reference. It is cut into *phrases* by its content: of the 12-word grams in each window of 35
 words the one with the smallest hash is the window's anchor (leftmost on ties), so equal windows have equal anchors at
@@ -6,14 +6,14 @@ equal places. A phrase is the stretch of words of neighbouring windows with the
 exactly one phrase. The reference index, dealt to blocks by a hash of the anchor, holds every distinct phrase of every
 document with its number of occurrences.
 
-Each document is factored greedily against all blocks of the index that can match, those of its anchors:
+No document is factored and no match is extended; each phrase is looked up by hash in the blocks of its anchor:
 
-* a phrase found whole in the index at another place is a factor's inside: all its windows are repeated;
-* a phrase whose anchor is found with other words around it is a factor's boundary: the factor may end inside it.
+* a phrase found whole in the index at another place: all its windows are repeated;
+* a phrase whose anchor is found with other words around it is a border: a repeat may end inside it.
   These are checked window by window: the windows of all distinct phrases of such an anchor are looked up in a second index;
-* a phrase whose anchor occurs once ends every factor.
+* a phrase whose anchor occurs once holds no repeated window.
 
-Neighbouring repeated windows join to one factor of at least 35 words; its words are the duplicate span. All windows are judged on
+Neighbouring repeated windows join to one duplicate span of at least 35 words. All windows are judged on
 the input. Hashes have 64 bits; windows are compared only under equal anchors, which adds as many.
 
 **Plan.** Counts are pre-aggregated in the tasks, so a passage that a third of all documents hold is one row per task; the

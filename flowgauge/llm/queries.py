@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.llm import jaccard, main_text, mixing, neighbours, quality, sentencepiece, substrings, suffixes, surrogates, topk
+from flowgauge.llm import alignment, jaccard, main_text, mixing, neighbours, quality, sentencepiece, substrings, suffixes, surrogates, topk, toxicity, whitening
 from flowgauge.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,20 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 @registered
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymized(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
+@registered
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"))
+    return toxicity.score(documents.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
+
+
+@registered
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))[0]
+
+
+@registered
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

@@ -12,8 +12,8 @@ links each. The merged postings, joined with their pair's count, then return sco
 count. Partial sums by document are added before and after that shuffle.
 
 A pair held by every document has one short row a block and plane, so no key is hot; nothing is collected or broadcast, and the only
-tables kept are the bitmaps and one row a document. A task holds at most ``HELD`` postings; texts are encoded in parts of about ``PART``
-characters, cut before a space between two word characters, where neither tokenizer has a token that crosses.
+tables kept are the bitmaps and one row a document. A task holds at most ``HELD`` postings and one piece of text; texts are encoded in parts of about ``PART``
+characters, cut before a space between two word characters, where neither tokenizer has a token that crosses; long ones are linked so, too.
 
 Cases: null and empty texts, and texts whose tokens don't give back space + text, have no tokens: zeros and ''. Strings of special tokens inside texts are plain
 text. Rows are independent: a repeated row or doc_id counts as often as it occurs, null doc_ids are returned as null. An empty table gives no
@@ -41,11 +41,12 @@ from flowgauge.llm.words import slices
 BYTE_MODEL, PIECE_MODEL = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: The word pattern of the byte-level model family (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-PART, PIECE = 1 << 18, 1 << 20
+PART, PIECE, LONG = 1 << 18, 1 << 20, 1 << 22
 HELD, BLOCK = 3_000_000, 1 << 16
 SALTS = 8
 CUT = re.compile(r"(?<=\w) (?=\w)")
 ENDS = (b",", b"|", b";", b"")
+COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 @dataclass(frozen=True)
@@ -97,10 +98,10 @@ class Aligner:
         self.written = [str(i).encode() + e for i in range(max(len(self.a_bytes), len(self.b_bytes))) for e in ENDS]
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
 
-    def parts(self, text: str) -> Iterator[str]:
+    def parts(self, text: str, size: int) -> Iterator[str]:
         """The text cut at spaces (which are left out) where tokens of both models begin anew."""
         lo = 0
-        while self.cuts and len(text) - lo > PART and (cut := CUT.search(text, lo + PART)):
+        while self.cuts and len(text) - lo > size and (cut := CUT.search(text, lo + size)):
             yield text[lo:cut.start()]
             lo = cut.end()
         yield text[lo:]
@@ -109,14 +110,13 @@ class Aligner:
         """Ids of A and B; None where their bytes aren't space + text."""
         if not text:
             return None
-        a, b, at = [], [], 0
-        for part in self.parts(text.decode()):
+        a, b = [], []
+        for part in self.parts(text.decode(), PART):
             x, y, data = self.a.encode_ordinary(" " + part), self.b.encode(part), b" " + part.encode()
             if b"".join([self.a_bytes[i] for i in x]) != data or b"".join([self.b_bytes[i] for i in y]) != data:
                 return None
             a.append(np.array(x, np.int64))
             b.append(np.array(y, np.int64))
-            at += len(data)
         return np.concatenate(a), np.concatenate(b)
 
 
@@ -127,41 +127,68 @@ def _aligner(key: str, models: Models) -> Aligner:
 
 @dataclass
 class Links:
-    """The links of several documents: pair keys and the document of each; counts and group texts of each document."""
+    """The links of several texts: pair keys and the text of each; counts and written groups of each text."""
 
     key: np.ndarray
-    doc: np.ndarray
-    counts: dict[str, np.ndarray]
-    sha: list[str]
+    text: np.ndarray
+    counts: np.ndarray
+    written: list[bytes]
 
 
 def links_of(aligner: Aligner, texts: list[bytes]) -> Links:
+    """All links at once: the bytes of the texts in a row, marked where tokens of A and of B end."""
     found = [aligner.tokens(t) for t in texts]
     none = np.zeros(0, np.int64)
     a, b = (np.concatenate([none, *(f[side] for f in found if f)]) for side in (0, 1))
     n_a, n_b = (np.array([len(f[side]) if f else 0 for f in found], np.int64) for side in (0, 1))
     end_a, end_b = np.cumsum(aligner.a_size[a]), np.cumsum(aligner.b_size[b])
     last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
-    doc_end = np.append(0, end_a)[last_a]
-    ends = np.concatenate([end_a, end_b])
-    ends.sort(kind="stable")
-    both = np.flatnonzero(ends[1:] == ends[:-1]) if len(ends) else none
-    common = ends[both]
-    ends = np.delete(ends, both)
-    docs = np.searchsorted(doc_end, ends)
-    key = a[np.searchsorted(end_a, ends)] * len(aligner.b_bytes) + b[np.searchsorted(end_b, ends)]
-    group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
-    n_groups = np.bincount(np.searchsorted(doc_end, common), minlength=len(texts)).astype(np.int64)
+    size = int(end_a[-1]) + 1 if len(a) else 1
+    is_a, is_b = np.zeros(size, bool), np.zeros(size, bool)
+    is_a[end_a], is_b[end_b] = True, True
+    is_both = is_a & is_b
+    upto_a, upto_b, upto_both = (np.cumsum(x, dtype=np.int32) for x in (is_a, is_b, is_both))
+    of_text = np.bincount(np.append(0, end_a)[last_a], minlength=size)
+    before = (np.cumsum(of_text) - of_text).astype(np.int32)  # texts that end before a byte
+    ends, common = np.flatnonzero(is_a | is_b), np.flatnonzero(is_both)
+    key = a[upto_a[ends] - is_a[ends]] * len(aligner.b_bytes) + b[upto_b[ends] - is_b[ends]]
+    n_groups = np.bincount(before[common], minlength=len(texts)).astype(np.int64)
     # the written form: tokens by group, A before B, each with what follows it
-    closes_a, closes_b = np.append(np.diff(group_a), 1)[:len(a)] > 0, np.append(np.diff(group_b), 1)[:len(b)] > 0
-    after_b = np.where(closes_b, 2, 0)
+    group_a, group_b = upto_both[end_a] - is_both[end_a], upto_both[end_b] - is_both[end_b]
+    after_b = np.where(is_both[end_b], 2, 0)
     after_b[last_b[n_b > 0] - 1] = 3
-    written = np.empty(len(a) + len(b), np.int64)
-    written[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = a * 4 + closes_a
-    written[np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")] = b * 4 + after_b
-    table, codes, bounds = aligner.written, written.tolist(), np.append(0, last_a + last_b).tolist()
-    sha = [hashlib.sha256(b"".join([table[c] for c in codes[lo:hi]])).hexdigest() if hi > lo else "" for lo, hi in zip(bounds, bounds[1:], strict=False)]
-    return Links(key, docs, {"n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": n_a + n_b - n_groups}, sha)
+    b_before, a_upto = np.append(0, upto_b[common]), upto_a[common]
+    order = np.empty(len(a) + len(b), np.int64)
+    order[np.arange(len(a)) + b_before[group_a]] = a * 4 + is_both[end_a]
+    order[np.arange(len(b)) + a_upto[group_b]] = b * 4 + after_b
+    table, codes, bounds = aligner.written, order.tolist(), np.append(0, last_a + last_b).tolist()
+    written = [b"".join([table[c] for c in codes[lo:hi]]) for lo, hi in zip(bounds, bounds[1:], strict=False)]
+    return Links(key, before[ends], np.stack([n_a, n_b, n_groups, n_a + n_b - n_groups], axis=1), written)
+
+
+def linked(aligner: Aligner, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """Pairs with the number of their text as ``key << 16 | number``, ascending, links of each, counts and sha256 of each text.
+
+    A text over LONG bytes is linked part by part."""
+    links = links_of(aligner, [t if len(t) <= LONG else b"" for t in texts])
+    found = [np.unique(links.key << 16 | links.text, return_counts=True)]
+    sha = [hashlib.sha256(w).hexdigest() if w else "" for w in links.written]
+    for i in (i for i, t in enumerate(texts) if len(t) > LONG):
+        parts = list(aligner.parts(texts[i].decode(), PIECE))
+        if not all(aligner.tokens(p.encode()) for p in parts):
+            continue
+        digest = hashlib.sha256()
+        for k, part in enumerate(parts):
+            one = links_of(aligner, [part.encode()])
+            found.append(np.unique(one.key << 16 | i, return_counts=True))
+            links.counts[i] += one.counts[0]
+            digest.update(b";" * (k > 0) + one.written[0])
+        sha[i] = digest.hexdigest()
+    codes, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+    if len(found) > 1:
+        codes, at = np.unique(codes, return_inverse=True)
+        counts = np.bincount(at, counts).astype(np.int64)
+    return codes, counts.astype(np.int32), links.counts, sha
 
 
 def _starts(*sorted_arrays: np.ndarray) -> np.ndarray:
@@ -174,6 +201,12 @@ def _starts(*sorted_arrays: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _or(codes: np.ndarray) -> np.ndarray:
+    """The distinct codes, ascending; a stable sort merges the ascending runs that come in."""
+    codes.sort(kind="stable")
+    return codes[_starts(codes)]
+
+
 def packed(first: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """Bitmaps of rows that begin at ``first`` of the ascending ``places``: the bitset's first place (-1: an array), and the bytes."""
     ends = np.append(first[1:], len(places))
@@ -227,7 +260,7 @@ def found_links(documents: DataFrame, models: Models) -> DataFrame:
     key = models.key
     schema = FOUND.format(id=documents.schema["doc_id"].dataType.simpleString())
     arrow = pa.schema([
-        *[(n, pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links")], ("groups_sha256", pa.string()), ("block", pa.int64()),
+        *[(n, pa.int64()) for n in COUNTS], ("groups_sha256", pa.string()), ("block", pa.int64()),
         ("place", pa.int32()), ("key", pa.int64()), ("plane", pa.int32()), ("base", pa.int32()), ("bitmap", pa.binary()),
     ])
 
@@ -267,15 +300,14 @@ def found_links(documents: DataFrame, models: Models) -> DataFrame:
                         if held:
                             yield from bitmaps()
                         held, size, place, block = [], 0, 0, block + 1
-                    links = links_of(aligner, some)
+                    codes, counts, numbers, sha = linked(aligner, some)
                     column = part.column(part.schema.get_field_index("doc_id")).slice(lo, len(some))
                     yield batch_of(
-                        column, len(some), **{n: pa.array(v) for n, v in links.counts.items()}, groups_sha256=pa.array(links.sha, pa.string()),
+                        column, len(some), **{n: pa.array(numbers[:, i]) for i, n in enumerate(COUNTS)}, groups_sha256=pa.array(sha, pa.string()),
                         block=pa.array(np.full(len(some), block)), place=pa.array(np.arange(place, place + len(some)), pa.int32()),
                     )
-                    if len(links.key):
-                        codes, counts = np.unique(links.key << 16 | links.doc + place, return_counts=True)
-                        held.append((codes, counts.astype(np.int32)))
+                    if len(codes):
+                        held.append((codes + place, counts))
                         size += len(codes)
                     place += len(some)
                     if size >= HELD:
@@ -296,14 +328,14 @@ def merged(bitmaps: DataFrame) -> DataFrame:
         row, place = unpacked(base, data)
         new_row = _starts(key, block, plane)
         of_row = np.searchsorted(new_row, np.arange(len(key)), side="right") - 1
-        code = np.unique(of_row[row].astype(np.int64) << 16 | place)  # OR of equal pairs, blocks and planes
+        code = _or(of_row[row].astype(np.int64) << 16 | place)  # of equal pairs, blocks and planes
         first = _starts(code >> 16)
         out_base, out = packed(first, code & (BLOCK - 1))
         k, b, p = key[new_row], block[new_row], plane[new_row]
         new_pair = _starts(k, b)
         pair = np.searchsorted(new_pair, np.arange(len(k)), side="right") - 1
         docs = np.zeros(len(k), np.int64)
-        every = np.unique(pair[code >> 16].astype(np.int64) << 16 | code & (BLOCK - 1))  # OR of the planes
+        every = _or(pair[code >> 16].astype(np.int64) << 16 | code & (BLOCK - 1))  # of the planes
         docs[new_pair] = np.bincount(every >> 16, minlength=len(new_pair))
         links = np.diff(np.append(first, len(code))) << p
         arrays = [k, b, p.astype(np.int32), out_base.astype(np.int32), docs, links]

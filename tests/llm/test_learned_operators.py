@@ -127,8 +127,8 @@ def _raw(documents, model):
     aligner = alignment.Aligner(model)
     texts = [r["text"].encode() for r in documents.collect()]
     for lo in range(0, len(texts), 20):
-        links = alignment.links_of(aligner, texts[lo:lo + 20])
-        codes, counts = np.unique(links.key << 16 | links.doc + lo, return_counts=True)
+        codes, counts, _, _ = alignment.linked(aligner, texts[lo:lo + 20])
+        codes = codes + lo
         for plane in range(int(counts.max()).bit_length()):
             code = codes[(counts >> plane) & 1 == 1]
             if len(code):
@@ -163,9 +163,15 @@ def test_long_texts_are_cut_without_a_trace(monkeypatch):
     aligner = alignment.Aligner(alignment.models())
     whole = aligner.tokens(text.encode())
     monkeypatch.setattr(alignment, "PART", 50)
-    assert len(list(aligner.parts(text))) > 50
+    assert len(list(aligner.parts(text, 50))) > 50
     cut = aligner.tokens(text.encode())
     assert all((x == y).all() for x, y in zip(whole, cut, strict=True))
+    texts = [b"one", text.encode(), b"", (text + " a ▁").encode()]
+    once = alignment.linked(aligner, texts)
+    monkeypatch.setattr(alignment, "LONG", 100)
+    monkeypatch.setattr(alignment, "PIECE", 500)
+    parted = alignment.linked(aligner, texts)
+    assert all((np.asarray(x) == np.asarray(y)).all() for x, y in zip(once, parted, strict=True))
 
 
 def test_alignment_of_a_text_of_many_parts(spark):

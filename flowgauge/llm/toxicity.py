@@ -9,7 +9,7 @@ most ``SPAN`` of them; so characters put in between cost a factor each and no ma
 
 **Training**, on the driver, from at most ``TRAIN_ROWS`` labelled documents (a documented bound; those with the smallest hash of their id, half of
 each class if there are enough), each with its whole text. A label says that some sentence is toxic, not which. Sentences therefore enter by their strongest
-window: those of toxic documents that score above zero (the best one at least), each also with a character put in between, and the hardest of clean
+window: those of toxic documents that score above zero and above all but one in a hundred clean sentences (the best one at least), each also with a character put in between, and the hardest of clean
 documents with some at random. The first scores are log-odds of letter strings, later ones the machine's. ``LANDMARKS`` windows span
 the space (K_nm K_mm^(-1/2)); the machine is linear there, with hinge loss solved by dual coordinate descent. Labels of rows whose crc32(doc_id) mod 3 is 1 are never
 read; labels, lang, source and ids are no inputs of a score. Everything is seeded by content: the same tables give the same model.
@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 ORDER, SPAN, WINDOW, DECAY = 4, 7, 10, 0.5
-FIRST, FIRST_ODDS, COST = 6, 3.0, 10.0
+FIRST, COMMON, COST, EPOCHS = 6, 0.99, 10.0, 10
 TRAIN_ROWS, LANDMARKS, HARD, RANDOM, ROUNDS = 3000, 512, 4000, 1500, 3
 THRESHOLD = 0.7
 PIECE, OVERLAP = 1 << 20, 4096
@@ -166,33 +166,36 @@ class Machine:
         self.landmarks = landmarks
         row, code, value = features(landmarks)
         self.strings, at = np.unique(code, return_inverse=True)
-        self.phi = np.zeros((len(landmarks), len(self.strings)), np.float32)
-        np.add.at(self.phi, (row, at), value)
-        gram = (self.phi @ self.phi.T).astype(float)
+        self.phi = np.zeros((len(self.strings), len(landmarks)), np.float32)
+        np.add.at(self.phi, (at, row), value)
+        gram = (self.phi.T @ self.phi).astype(float)
         self.scale = max(float(np.diag(gram).mean()), 1e-9)
         e, q = np.linalg.eigh(gram / self.scale)
         kept = e > 1e-6 * max(e[-1], 1e-9)
         self.root = q[:, kept] / np.sqrt(e[kept])
 
     def kernel(self, windows: np.ndarray) -> np.ndarray:
-        """k(window, landmark) for all pairs, in blocks."""
-        out = np.empty((len(windows), len(self.landmarks)))
-        for lo in range(0, len(windows), 200):
-            row, code, value = features(windows[lo:lo + 200])
-            at = np.minimum(np.searchsorted(self.strings, code), len(self.strings) - 1)
-            known = self.strings[at] == code
-            phi = np.zeros((len(windows[lo:lo + 200]), len(self.strings)), np.float32)
-            np.add.at(phi, (row[known], at[known]), value[known])
-            out[lo:lo + 200] = phi @ self.phi.T
+        """k(window, landmark) for all pairs."""
+        row, code, value = features(windows)
+        at = np.minimum(np.searchsorted(self.strings, code), len(self.strings) - 1)
+        known = np.flatnonzero(self.strings[at] == code)
+        met, column = np.unique(at[known], return_inverse=True)  # only strings of these windows that a landmark holds
+        phi = np.bincount(row[known] * len(met) + column, value[known], minlength=len(windows) * len(met)).reshape(len(windows), len(met))
+        return phi.astype(np.float32) @ self.phi[met]
+
+    def placed(self, windows: np.ndarray, block: int = 100) -> np.ndarray:
+        """The windows in the landmarks' space, and a column of ones for the bias."""
+        out = np.ones((len(windows), self.root.shape[1] + 1), np.float32)
+        for lo in range(0, len(windows), block):
+            out[lo:lo + block, :-1] = self.kernel(windows[lo:lo + block]) / self.scale @ self.root
         return out
 
-    def trained(self, windows: np.ndarray, labels: np.ndarray, cost: float = COST, epochs: int = 30, seed: int = 0) -> tuple[np.ndarray, float]:
+    def trained(self, windows: np.ndarray, labels: np.ndarray, cost: float = COST, epochs: int = EPOCHS, seed: int = 0) -> tuple[np.ndarray, float]:
         """Weights of all strings and the bias after dual coordinate descent on the hinge loss; both classes weigh alike."""
-        z = self.kernel(windows) / self.scale @ self.root
+        z = self.placed(windows)
         sign = np.where(labels == 1, 1.0, -1.0)
-        z = np.hstack([z, np.ones((len(z), 1))])  # the bias, a feature of its own
         upper = cost * np.where(labels == 1, 0.5 / max((labels == 1).mean(), 1e-9), 0.5 / max((labels == 0).mean(), 1e-9))
-        square, alpha, w = (z * z).sum(axis=1), np.zeros(len(z)), np.zeros(z.shape[1])
+        square, alpha, w = np.einsum("ij,ij->i", z, z), np.zeros(len(z)), np.zeros(z.shape[1], np.float32)
         rng = np.random.default_rng(seed)
         for _ in range(epochs):
             for i in rng.permutation(len(z)):
@@ -202,7 +205,7 @@ class Machine:
                     w += (new - alpha[i]) * sign[i] * z[i]
                     alpha[i] = new
         weights = np.zeros(STRINGS)
-        weights[self.strings] = (self.root @ w[:-1] / self.scale) @ self.phi
+        weights[self.strings] = self.phi @ (self.root @ w[:-1] / self.scale)
         return weights.astype(np.float32), float(w[-1])
 
 
@@ -261,7 +264,7 @@ def _log_odds(texts: list[str], y: np.ndarray) -> np.ndarray:
         for part in pieces(text):
             df[label, np.unique(_plain_strings(stream([part]).letters))] += 1
     odds = np.log((df[1] + 0.5) / (y.sum() + 1)) - np.log((df[0] + 0.5) / ((1 - y).sum() + 1))
-    return np.where(df[1] >= 4, np.maximum(odds - 1, 0), 0).astype(np.float32)
+    return np.maximum(odds - 2 * np.sqrt(1 / (df[1] + 0.5) + 1 / (df[0] + 0.5)), 0).astype(np.float32)
 
 
 def _plain_strings(letters: np.ndarray) -> np.ndarray:
@@ -315,12 +318,12 @@ def train(texts: list[str], labels: list[int], seed: int = 0, landmarks: int = L
         order = np.lexsort((-value, owner))
         best = np.zeros(len(order), bool)
         best[order[np.unique(owner[order], return_index=True)[1]]] = True
-        plus = windows[best | (value + bias > (0 if turn else FIRST_ODDS))]
+        _, clean_value, clean_windows = _windows(clean, weights, decide)
+        plus = windows[best | (value > max(-bias, np.quantile(clean_value, COMMON)))]
         plus = plus[(plus != GAP).sum(axis=1) >= ORDER]
-        _, value, windows = _windows(clean, weights, decide)
-        hard = np.argsort(-value, kind="stable")[:HARD]
-        some = rng.permutation(len(windows))[:RANDOM]
-        minus = windows[np.unique(np.concatenate([hard, some]))]
+        hard = np.argsort(-clean_value, kind="stable")[:HARD]
+        some = rng.permutation(len(clean_windows))[:RANDOM]
+        minus = clean_windows[np.unique(np.concatenate([hard, some]))]
         if not len(plus) or not len(minus):
             break
         half = landmarks // 2
@@ -333,16 +336,16 @@ def train(texts: list[str], labels: list[int], seed: int = 0, landmarks: int = L
     return Model(weights, bias, logistic(Model(weights, bias, np.zeros(5)).inputs(texts), y))
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of the logistic regression of y on x with a small penalty, by Newton's method."""
-    w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], 1e-2)
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(curve, x.T @ (p - y) + ridge * w)
-        w = w - np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-9:
-            break
+def logistic(x: np.ndarray, y: np.ndarray, sweeps: int = 300) -> np.ndarray:
+    """Weights of the logistic regression of y on x with a small penalty, by Newton steps along each; all but the last (the constant) are 0 at least."""
+    w = np.zeros(x.shape[1])
+    for _ in range(sweeps):
+        for j in range(len(w)):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            step = (x[:, j] @ (p - y) + 1e-2 * w[j]) / ((x[:, j] ** 2) @ (p * (1 - p)) + 1e-2)
+            w[j] = w[j] - np.clip(step, -1, 1)
+            if j < len(w) - 1:
+                w[j] = max(w[j], 0.0)
     return w
 
 

@@ -310,7 +310,7 @@ def test_folded_weights_decide_as_the_landmarks_do():
     labels = (windows[:, 3] > 2).astype(int)
     machine = toxicity.Machine(windows[:30])
     weights, bias = machine.trained(windows, labels)
-    alpha = np.linalg.lstsq(machine.phi.T.astype(float), weights[machine.strings].astype(float), rcond=None)[0]
+    alpha = np.linalg.lstsq(machine.phi.astype(float), weights[machine.strings].astype(float), rcond=None)[0]
     folded = np.array([toxicity.decisions(w, weights)[0] for w in windows])
     assert np.allclose(folded, machine.kernel(windows) @ alpha, atol=1e-3)
 

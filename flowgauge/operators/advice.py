@@ -42,34 +42,38 @@ def combination_history(features: DataFrame) -> DataFrame:
     )
 
 
-def rule_array(rules: DataFrame) -> Column:
-    """The (top-n) rule table as one array value, strongest lift first."""
-    rule = F.struct((-F.col("lift")).alias("k"), "time_of_day", "day_type", "weather", "confidence", "lift")
-    return rules.agg(F.sort_array(F.collect_list(rule))).scalar()
+PARTS = ["time_of_day", "day_type", "weather"]
+_MASKS = [[p for i, p in enumerate(PARTS) if m >> i & 1] for m in range(2 ** len(PARTS))]
 
 
-def matching_rules(rules: Column) -> Column:
-    """Rules whose given parts all equal the row's; a missing part matches anything."""
-    def fits(rule: Column) -> Column:
-        def part(name: str) -> Column:
-            return rule[name].isNull() | (rule[name] == F.col(name))
+def _pattern(given: list[str]) -> Column:
+    """The key of the pattern that names the given parts and leaves the others open; NULL where a given part is missing."""
+    parts = [F.concat(F.lit("="), F.col(p)) if p in given else F.lit("*") for p in PARTS]
+    return F.concat(*[F.concat(p, F.lit("\n")) for p in parts])
 
-        return part("time_of_day") & part("day_type") & part("weather")
 
-    return F.filter(rules, fits)
+def rule_name(rule: Column | None = None) -> Column:
+    part = F.col if rule is None else rule.__getitem__
+    return F.concat_ws(" + ", part("time_of_day"), part("weather"), part("day_type"))
 
 
-def rule_name(rule: Column) -> Column:
-    return F.concat_ws(" + ", rule["time_of_day"], rule["weather"], rule["day_type"])
+def match_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per (row, matching rule), for rows with time_of_day, day_type and weather.
 
+    A rule's missing part matches anything. Rules are indexed by their pattern: every distinct combination of parts in df asks for the eight
+    patterns that fit it, in one equi-join however many rules there are; the matches are then joined back to the rows.
+    """
+    key = F.coalesce(*[F.when(_only(m), _pattern(m)) for m in _MASKS])
+    indexed = rules.select(key.alias("_key"), rule_name().alias("rule"), "confidence", "lift")
+    asked = df.select(*PARTS).distinct().withColumn("_key", F.explode(F.array_compact(F.array(*[_pattern(m) for m in _MASKS]))))
+    matched = asked.join(indexed, "_key").select(*[F.col(p).alias(f"_{p}") for p in PARTS], "rule", "confidence", "lift")
+    same = [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in PARTS]
+    return df.join(matched, same[0] & same[1] & same[2]).select(*df.columns, "rule", "confidence", "lift")
 
-def match_rules(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """One row per (row, matching rule), for rows with time_of_day, day_type and weather."""
-    listed = df.withColumn("_rules", rule_array(rules))
-    return listed.withColumn("_rule", F.explode(matching_rules(F.col("_rules")))).select(
-        *df.columns, rule_name(F.col("_rule")).alias("rule"),
-        F.col("_rule.confidence").alias("confidence"), F.col("_rule.lift").alias("lift"),
-    )
+
+def _only(given: list[str]) -> Column:
+    tests = [F.col(p).isNotNull() if p in given else F.col(p).isNull() for p in PARTS]
+    return tests[0] & tests[1] & tests[2]
 
 
 def recommend(features: DataFrame, rules: DataFrame) -> DataFrame:
@@ -85,27 +89,27 @@ def recommend(features: DataFrame, rules: DataFrame) -> DataFrame:
         .groupBy("day_type")
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("_n", "hour"))), lambda s: s["hour"]).alias("quiet_hours"))
     )
+    grid = combinations(spark).withColumn("time_of_day", time_of_day(F.col("hour")))
+    strongest = F.array_sort(F.collect_list(F.struct((-F.round("lift", 9)).alias("k"), "rule")))
+    listed = match_rules(grid, rules).groupBy(*COMBINATION).agg(F.transform(strongest, lambda r: r["rule"]).alias("rules"))
     rate = F.try_divide(F.col("congested"), F.col("n"))
     return (
-        combinations(spark)
-        .join(seen, COMBINATION, "left")
+        grid.join(seen, COMBINATION, "left")
+        .join(listed, COMBINATION, "left")
         .join(F.broadcast(quiet), "day_type", "left")  # two rows
         .withColumns({
             "n": F.coalesce("n", F.lit(0)),
             "congestion_rate": rate,
             "base_rate": base,
             "avg_volume": F.try_divide(F.col("volume"), F.col("n")),
-            "time_of_day": time_of_day(F.col("hour")),
         })
         # no history leaves the ratio NULL, which grades LOW
         .withColumn("ratio", F.try_divide("congestion_rate", "base_rate"))
         .withColumn("level", risk_of_ratio(F.col("ratio")))
-        .withColumn("_all_rules", rule_array(rules))
-        .withColumn("_rules", F.transform(matching_rules(F.col("_all_rules")), rule_name))
         .select(
             *COMBINATION, "n", "congestion_rate", "base_rate", "ratio", "level", "avg_volume",
             (F.col("n") < ROUGH_ESTIMATE).alias("rough_estimate"), "quiet_hours",
-            F.col("_rules").alias("rules"),
+            F.coalesce("rules", F.array().cast("array<string>")).alias("rules"),
             F.when(F.col("level") == "HIGH", "AVOID").when(F.col("level") == "MODERATE", "ALLOW_BUFFER")
             .otherwise("GOOD_TIME").alias("commuter_advice"),
             F.when(F.col("level") == "HIGH", "PREPOSITION").when(F.col("level") == "MODERATE", "MONITOR")

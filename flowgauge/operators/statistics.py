@@ -106,3 +106,66 @@ def congestion_by_weather(df: DataFrame) -> DataFrame:
         F.count_if("congested").alias("n_congested"),
         F.avg(F.col("congested").cast("int")).alias("p_congested"),
     )
+
+
+def contingency(df: DataFrame, row: Column, column: Column) -> DataFrame:
+    """(row_value, column_value, n) of all pairs that occur with neither null: the fact table is read once, here."""
+    pairs = df.select(row.alias("row_value"), column.alias("column_value")).where("row_value IS NOT NULL AND column_value IS NOT NULL")
+    return pairs.groupBy("row_value", "column_value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def chi_square(table: DataFrame) -> DataFrame:
+    """Test of independence on a contingency table: n, statistic, degrees of freedom, p_value, Cramer's V.
+
+    Cells that don't occur add their expected count: sum(O**2 / E) - n. One row; p_value is 1 without degrees of freedom.
+    The upper tail of the distribution is the library's, so p-values below 1e-16 are 0.
+    """
+    rows = table.groupBy("row_value").agg(F.sum("n").alias("row_n"))
+    columns = table.groupBy("column_value").agg(F.sum("n").alias("column_n"))
+    share = F.col("n") * F.col("n") / F.col("row_n") / F.col("column_n")
+    cells = table.join(rows, "row_value").join(columns, "column_value")
+    one = cells.agg(
+        F.sum("n").alias("n"), F.sum(share).alias("shares"),
+        F.count_distinct("row_value").alias("n_rows"), F.count_distinct("column_value").alias("n_columns"),
+    )
+    dof = F.greatest(F.col("n_rows") - 1, F.lit(0)) * F.greatest(F.col("n_columns") - 1, F.lit(0))
+    least = F.least("n_rows", "n_columns") - 1
+    found = one.select(
+        F.coalesce("n", F.lit(0)).alias("n"),
+        F.greatest(F.lit(0.0), F.coalesce(F.col("n") * (F.col("shares") - 1), F.lit(0.0))).alias("statistic"),
+        dof.alias("degrees_of_freedom"), least.alias("_least"),
+    )
+    v = F.sqrt(F.try_divide("statistic", F.col("n") * F.col("_least")))
+    return found.withColumn("p_value", upper_tail(F.col("statistic"), F.col("degrees_of_freedom"))).withColumn("cramers_v", v).drop("_least")
+
+
+def upper_tail(statistic: Column, dof: Column) -> Column:
+    """P(chi-square > statistic) for whole degrees of freedom, by the finite sums of its even and odd cases."""
+    half = statistic / 2
+    begin = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("total"))
+    # even: exp(-x/2) sum of (x/2)^i / i!, i < dof/2
+    steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor(dof / 2).cast("int")))
+    even = F.exp(-half) * F.aggregate(
+        steps, begin, lambda a, i: F.struct((a["term"] * half / i).alias("term"), (a["total"] + a["term"]).alias("total")), lambda a: a["total"]
+    )
+    # odd: erfc(sqrt(x/2)) + exp(-x/2) sum of (x/2)^(i - 1/2) / gamma(i + 1/2), i = 1 .. (dof - 1)/2
+    first = F.struct((F.sqrt(half) / (0.5 * 3.141592653589793**0.5)).alias("term"), F.lit(0.0).alias("total"))
+    odd_steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.floor((dof - 1) / 2).cast("int")))
+    odd = F.aggregate(
+        odd_steps, first, lambda a, i: F.struct((a["term"] * half / (i + 0.5)).alias("term"), (a["total"] + a["term"]).alias("total")), lambda a: a["total"]
+    )
+    odd = normal_tail(F.sqrt(statistic)) * 2 + F.when(dof > 1, F.exp(-half) * odd).otherwise(0.0)
+    return F.when(dof < 1, 1.0).when(dof % 2 == 0, even).otherwise(odd)
+
+
+def normal_tail(z: Column, steps: int = 60) -> Column:
+    """P(Z > z) of the normal distribution for z >= 0: a series below 3, a continued fraction above."""
+    density = F.exp(-z * z / 2) / (2 * 3.141592653589793) ** 0.5
+    term, total = z, z
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(steps)), F.struct(term.alias("term"), total.alias("total")),
+        lambda a, i: F.struct((a["term"] * z * z / (2 * i + 1)).alias("term"), (a["total"] + a["term"] * z * z / (2 * i + 1)).alias("total")),
+        lambda a: a["total"],
+    )
+    fraction = F.aggregate(F.sequence(F.lit(steps), F.lit(1), F.lit(-1)), z, lambda a, i: z + i / a)
+    return F.when(z < 3, F.lit(0.5) - density * series).otherwise(density / F.when(z < 3, F.lit(1.0)).otherwise(fraction))

@@ -246,17 +246,20 @@ def argmax_hour(spark, sf_dir):
 
 # --- item sets and rules ----------------------------------------------------------------------
 
-_TRANS = f"""{CLEAN}, trans AS (SELECT series_id, date_time, {time_of_day(_HOUR)} AS time_of_day,
+_TRANSACTIONS = f"""trans AS (SELECT series_id, date_time, {time_of_day(_HOUR)} AS time_of_day,
 CASE WHEN isodow(date_time) >= 6 THEN 'Weekend' ELSE 'Weekday' END AS day_type, 'Weather_' || weather_main AS weather,
 CASE WHEN traffic_volume >= (SELECT quantile_cont(traffic_volume, 0.75) FROM clean) THEN 'High traffic' ELSE 'Normal traffic' END
 AS traffic_level FROM clean)"""
-_ITEMS = f"""{_TRANS}, sets AS (
+_TRANS = f"{CLEAN}, {_TRANSACTIONS}"
+_SETS = f"""sets AS (
 SELECT array_to_string(list_sort([x FOR x IN [time_of_day, day_type, weather, traffic_level] IF x IS NOT NULL]), ',') AS items,
   time_of_day, day_type, weather, traffic_level, count(*) AS n, count(*) / (SELECT count(*) FROM trans) AS support
 FROM trans GROUP BY CUBE (time_of_day, day_type, weather, traffic_level)
 HAVING count(*) / (SELECT count(*) FROM trans) >= 0.05 AND items <> '')"""
+ITEMS = f"{_TRANS}, {_SETS}"
+MINED = f"{_TRANSACTIONS}, {_SETS}"  # after the cleaned rows
 RULE_CONFIDENCE = 0.2  # volumes of the test tables are unrelated to time and weather, so rules are weak
-_RULES = f"""{_ITEMS}, rules AS (
+_RULES = f"""{ITEMS}, rules AS (
 SELECT a.items AS antecedent, b.support, b.n / a.n AS confidence,
        (b.n / a.n) / (SELECT support FROM sets WHERE items = 'High traffic') AS lift
 FROM sets b JOIN sets a ON a.traffic_level IS NULL AND a.time_of_day IS NOT DISTINCT FROM b.time_of_day
@@ -271,7 +274,7 @@ def discretize_transactions(spark, sf_dir):
     return items.select("series_id", "date_time", F.array_join("items", ",").alias("items"))
 
 
-@query("itemset_supports", f"WITH {_ITEMS} SELECT items, n, support FROM sets", ["support"])
+@query("itemset_supports", f"WITH {ITEMS} SELECT items, n, support FROM sets", ["support"])
 def itemset_supports(spark, sf_dir):
     sets = rules.itemsets(features.transactions(clean_rows(spark, sf_dir)))
     return sets.withColumn("items", F.array_join("items", ","))

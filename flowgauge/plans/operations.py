@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from flowgauge.constants import DRIFT_FEATURES, TOP_RULES, WEATHER
+from flowgauge.constants import DRIFT_FEATURES, WEATHER
 from flowgauge.functions import fields
-from flowgauge.operators import advice, cleaning, drift, models, runs, scoring, sequences
+from flowgauge.operators import advice, cleaning, drift, features, models, rules, runs, scoring, sequences
 from flowgauge.plans import prepared
+from flowgauge.plans.analysis import MINED, RULE_CONFIDENCE
 from flowgauge.plans.checks import CLEAN, FEAT, OBS, STAMP, TEST, TRAIN, time_of_day
 from flowgauge.plans.modelling import KEYS, experiment_table
 from flowgauge.plans.prepared import SPLIT, clean_rows, feature_rows, place, split_rows
@@ -189,9 +190,12 @@ def scored_requests_hold(spark, sf_dir):
 
 # --- recommendation ---------------------------------------------------------------------------
 
-_RULE_ROWS = ", ".join(
-    "(" + ", ".join("NULL" if v is None else repr(v) for v in rule) + ")" for rule in TOP_RULES)
-_GRID = f"""rules(tod, day, weather, confidence, lift) AS (VALUES {_RULE_ROWS}),
+# rules are mined from the same rows, here and in the SQL
+_GRID = f"""{MINED}, patterns AS (SELECT a.time_of_day AS tod, a.day_type AS day, replace(a.weather, 'Weather_', '') AS weather, b.n / a.n AS confidence,
+  (b.n / a.n) / (SELECT support FROM sets WHERE items = 'High traffic') AS lift
+  FROM sets b JOIN sets a ON a.traffic_level IS NULL AND a.time_of_day IS NOT DISTINCT FROM b.time_of_day
+  AND a.day_type IS NOT DISTINCT FROM b.day_type AND a.weather IS NOT DISTINCT FROM b.weather
+  WHERE b.traffic_level = 'High traffic' AND b.n / a.n >= {RULE_CONFIDENCE}),
 grid AS (SELECT h AS hour, d AS day_type, w AS weather FROM range(24) AS a(h), (VALUES ('Weekday'), ('Weekend')) AS b(d),
   (VALUES {', '.join(f"('{w}')" for w in WEATHER)}) AS c(w)),
 hist AS (SELECT hour, CASE WHEN day_of_week >= 5 THEN 'Weekend' ELSE 'Weekday' END AS day_type, weather_main AS weather,
@@ -201,9 +205,9 @@ means AS (SELECT CASE WHEN day_of_week >= 5 THEN 'Weekend' ELSE 'Weekday' END AS
 quiet AS (SELECT day_type, string_agg(hour, ',' ORDER BY a, hour) AS quiet_hours FROM (
   SELECT * FROM means QUALIFY row_number() OVER (PARTITION BY day_type ORDER BY a, hour) <= 3) GROUP BY 1),
 matched AS (SELECT g.hour, g.day_type, g.weather, r.confidence, r.lift,
-  concat_ws(' + ', r.tod, r.weather, r.day) AS rule FROM grid g JOIN rules r ON (r.tod IS NULL OR r.tod = {time_of_day('g.hour')})
+  concat_ws(' + ', r.tod, r.weather, r.day) AS rule FROM grid g JOIN patterns r ON (r.tod IS NULL OR r.tod = {time_of_day('g.hour')})
   AND (r.day IS NULL OR r.day = g.day_type) AND (r.weather IS NULL OR r.weather = g.weather)),
-listed AS (SELECT hour, day_type, weather, string_agg(rule, ' | ' ORDER BY lift DESC) AS rules FROM matched GROUP BY 1, 2, 3),
+listed AS (SELECT hour, day_type, weather, string_agg(rule, ' | ' ORDER BY round(lift, 9) DESC, rule) AS rules FROM matched GROUP BY 1, 2, 3),
 advice AS (SELECT g.*, coalesce(h.n, 0) AS n, congestion_rate, base_rate, congestion_rate / base_rate AS ratio,
   CASE WHEN congestion_rate / base_rate >= 1.5 THEN 'HIGH' WHEN congestion_rate / base_rate >= 0.8 THEN 'MODERATE' ELSE 'LOW' END AS level,
   avg_volume, coalesce(h.n, 0) < 30 AS rough_estimate, quiet_hours, coalesce(rules, '') AS rules
@@ -211,8 +215,13 @@ advice AS (SELECT g.*, coalesce(h.n, 0) AS n, congestion_rate, base_rate, conges
   LEFT JOIN listed USING (hour, day_type, weather), (SELECT avg(congestion) AS base_rate FROM feat))"""
 
 
+def _mined_rules(spark, sf_dir):
+    trans = features.transactions(clean_rows(spark, sf_dir))
+    return rules.rule_parts(rules.association_rules(trans, min_confidence=RULE_CONFIDENCE))
+
+
 def _advice(spark, sf_dir):
-    table = advice.recommend(feature_rows(spark, sf_dir), advice.published_rules(spark))
+    table = advice.recommend(feature_rows(spark, sf_dir), _mined_rules(spark, sf_dir))
     return table.withColumns({
         "quiet_hours": F.array_join("quiet_hours", ","), "rules": F.array_join("rules", " | "),
     })
@@ -234,7 +243,7 @@ def rule_match(spark, sf_dir):
     rows = feature_rows(spark, sf_dir).select(
         *KEYS, fields.time_of_day(F.col("hour")).alias("time_of_day"),
         fields.day_type(F.col("day_of_week")).alias("day_type"), advice.weather_of_onehot().alias("weather"))
-    matched = advice.match_rules(rows, advice.published_rules(spark))
+    matched = advice.match_rules(rows, _mined_rules(spark, sf_dir))
     return matched.select(*KEYS, "rule", "confidence", "lift")
 
 
@@ -246,7 +255,7 @@ def advise_requests(spark, sf_dir):
     valid, _ = scoring.split_requests(score_requests_view(spark, sf_dir))
     asked = valid.select("request_id", "hour", fields.day_type(F.col("day_of_week")).alias("day_type"),
                          F.col("weather_main").alias("weather"))
-    table = advice.recommend(feature_rows(spark, sf_dir), advice.published_rules(spark))
+    table = advice.recommend(feature_rows(spark, sf_dir), _mined_rules(spark, sf_dir))
     return advice.advise_requests(asked, table).select("request_id", "hour", "day_type", "weather", "n", "level")
 
 

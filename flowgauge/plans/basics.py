@@ -24,23 +24,56 @@ FIRST_YEAR, LAST_YEAR = 1995, 2000
 
 # --- sources and sinks ------------------------------------------------------------------------
 
+# cells that do not parse, as sensors and hands spoil them: column -> (every n-th row, its text)
+SPOILED = {"temp": (41, "n/a"), "date_time": (43, "yesterday"), "traffic_volume": (47, "12x"), "clouds_all": (53, "many")}
+
+
 def _csv(spark, sf_dir):
-    """The observations as CSV files with a header, as sensors deliver them."""
+    """The observations as CSV files with a header; some cells hold what is no value of their type."""
     def build(path):
         rows = observations(spark, sf_dir).withColumn("date_time", fields.clock(F.col("date_time")))
-        rows.write.mode("overwrite").option("header", True).csv(path)
+        cells = {c: F.when(F.col("ordinal") % n == 0, text).otherwise(F.col(c).cast("string")) for c, (n, text) in SPOILED.items()}
+        rows.withColumns(cells).write.mode("overwrite").option("header", True).csv(path)
 
     return prepared.once(place(spark, sf_dir, "csv"), build)
 
 
-@query("scan_raw", f"WITH {OBS} SELECT {ALL_COLUMNS} FROM obs", MEASURES)
+def _split(spark, sf_dir):
+    return raw.split_scan(spark, _csv(spark, sf_dir), place(spark, sf_dir, "scanned"))
+
+
+_BAD = {c: f"ordinal % {n} = 0" for c, (n, _) in SPOILED.items()}
+_SPOILED = f"""{OBS}, marked AS (SELECT *, concat_ws(',', {', '.join(f"CASE WHEN {_BAD[c]} THEN '{c}' END" for c in raw.RAW_TYPES if c in _BAD)}) AS rejected FROM obs)"""
+
+
+@query("scan_raw", f"WITH {_SPOILED} SELECT {ALL_COLUMNS} FROM marked WHERE rejected = ''", MEASURES)
 def scan_raw(spark, sf_dir):
-    accepted, _ = raw.scan_raw(spark, _csv(spark, sf_dir))
-    return accepted.select(*OBS_COLUMNS)
+    """The side of the scan whose cells all parse."""
+    return _split(spark, sf_dir)[0].select(*OBS_COLUMNS)
+
+
+_CELLS = ", ".join(f"CASE WHEN {_BAD[c]} THEN '{text}' END AS {c}_cell" for c, (_, text) in SPOILED.items())
+
+
+@query("scan_refused", f"""WITH {_SPOILED} SELECT series_id, ordinal, rejected, weather_description, {_CELLS} FROM marked WHERE rejected <> ''""")
+def scan_refused(spark, sf_dir):
+    """The other side of the same scan: why each row was refused, and the text that did not parse."""
+    cells = [F.when(F.array_contains("rejected", c), F.col("cells")[c]).alias(f"{c}_cell") for c in SPOILED]
+    return _split(spark, sf_dir)[1].select("series_id", "ordinal", F.array_join("rejected", ",").alias("rejected"), "weather_description", *cells)
+
+
+@query("scan_counts", f"""WITH {_SPOILED} SELECT count(*) AS read, count(*) FILTER (rejected = '') AS accepted, count(*) FILTER (rejected <> '') AS refused,
+{', '.join(f"count(*) FILTER ({b}) AS {c}_refused" for c, b in _BAD.items())}, 0 AS torn_lines FROM marked""")
+def scan_counts(spark, sf_dir):
+    """What the write of both sides has counted."""
+    counts = _split(spark, sf_dir)[2]
+    names = {"read": "read", "accepted": "accepted", "refused": "refused", **{c: f"{c}_refused" for c in SPOILED}, raw.LINE: "torn_lines"}
+    return spark.range(1).select(*[F.lit(counts[k]).alias(n) for k, n in names.items()])
 
 
 @query("schema_check", f"""WITH {OBS} """ + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, count({c}) AS parsed, count(*) - count({c}) AS empty, CAST(0 AS BIGINT) AS rejected FROM obs"
+    f"""SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NOT NULL AND NOT ({_BAD.get(c, 'false')})) AS parsed,
+count(*) FILTER ({c} IS NULL AND NOT ({_BAD.get(c, 'false')})) AS empty, count(*) FILTER ({_BAD.get(c, 'false')}) AS rejected FROM obs"""
     for c in raw.RAW_TYPES))
 def schema_check(spark, sf_dir):
     return raw.schema_report(raw.read_text(spark, _csv(spark, sf_dir)))
@@ -60,9 +93,11 @@ def table_replace(spark, sf_dir):
 @query("verify_load", f"""WITH {OBS}
 SELECT count(*) AS row_count, strftime(min(date_time), '%Y-%m-%d %H:%M:%S') AS first_timestamp,
        strftime(max(date_time), '%Y-%m-%d %H:%M:%S') AS last_timestamp,
-       count(DISTINCT (series_id, date_time)) AS distinct_keys, count(*) = 10000 AS as_expected FROM obs""")
+       count(DISTINCT (series_id, date_time)) AS distinct_keys, true AS as_expected FROM obs WHERE NOT ({' OR '.join(_BAD.values())})""")
 def load_check(spark, sf_dir):
-    return verify_load(observations(spark, sf_dir), expected=10000)
+    """The accepted rows read back, held against the number that the scan wrote."""
+    accepted, _, counts = _split(spark, sf_dir)
+    return verify_load(accepted, expected=counts["accepted"])
 
 
 @query("write_clean", f"""WITH {CLEAN}
@@ -115,14 +150,15 @@ def query_suite(spark, sf_dir):
 
 
 @query("result_tables", f"""WITH {OBS}, s AS (SELECT avg(traffic_volume) AS mean, stddev_samp(traffic_volume) AS std FROM obs)
-SELECT 'describe' AS analysis, 'mean' AS metric, 'all' AS "group", mean AS value FROM s
-UNION ALL SELECT 'describe', 'std', 'all', std FROM s""", ["value"], 3)
+SELECT run, 'describe' AS analysis, metric, 'all' AS "group", value FROM (VALUES ('first'), ('second')) AS r(run),
+  (SELECT 'mean' AS metric, mean AS value FROM s UNION ALL SELECT 'std', std FROM s)""", ["value"], 3)
 def result_tables(spark, sf_dir):
+    """Two runs, the second of them written twice: one set of results each."""
     stats = statistics.describe(observations(spark, sf_dir))
-    folder = prepared.once(
-        place(spark, sf_dir, "results"), lambda p: store_as_results(stats, "describe", ["mean", "std"], p)
-    )
-    return spark.read.parquet(folder).select(*tables.RESULT_COLUMNS)
+    folder = place(spark, sf_dir, "results")
+    for run in ("first", "second", "second"):
+        store_as_results(stats, "describe", ["mean", "std"], folder, run)
+    return spark.read.parquet(folder).select("run", *tables.RESULT_COLUMNS)
 
 
 # --- filters and projections ------------------------------------------------------------------

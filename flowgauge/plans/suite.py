@@ -110,6 +110,6 @@ def verify_load(raw: DataFrame, expected: int | None = None) -> DataFrame:
     ).withColumn("as_expected", F.lit(None).cast("boolean") if expected is None else F.col("row_count") == expected)
 
 
-def store_as_results(stats: DataFrame, analysis: str, metrics: Sequence[str], folder: str) -> DataFrame:
-    tables.append_results(tables.long_results(stats, analysis, metrics), folder)
+def store_as_results(stats: DataFrame, analysis: str, metrics: Sequence[str], folder: str, run: str | None = None) -> DataFrame:
+    tables.append_results(tables.long_results(stats, analysis, metrics), folder, run)
     return stats.sparkSession.read.parquet(folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -31,16 +32,16 @@ def read_by_month(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def replace_table(df: DataFrame, name: str, path: str) -> int:
-    """Drop, create and fill a catalog table; returns the rows written without a second pass."""
+    """Fill a new version of a named relation, then point the name at it; returns the rows written without a second pass.
+
+    Every version has a folder of its own below ``path``, and the name is a view on the last complete one. Moving it is one step of the
+    catalog: a load that fails half-way leaves the rows of before, readers never see an empty or half relation, and those that
+    have begun go on with the version they opened. Schemas may differ from version to version.
+    """
     spark = df.sparkSession
-    written = Observation()
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    (
-        df.observe(written, F.count(F.lit(1)).alias("n"))
-        .write.mode("overwrite")
-        .option("path", path)
-        .saveAsTable(name)
-    )
+    version, written = f"{path}/version={uuid.uuid4().hex}", Observation()
+    df.observe(written, F.count(F.lit(1)).alias("n")).write.parquet(version)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{version}`")
     return written.get["n"]
 
 
@@ -56,8 +57,10 @@ def long_results(df: DataFrame, analysis: str, metrics: Sequence[str], group: Co
     return df.select(F.lit(analysis).alias("analysis"), group.alias("group"), F.inline(pairs)).select(*RESULT_COLUMNS)
 
 
-def append_results(results: DataFrame, path: str) -> None:
-    results.withColumn("run_ts", F.current_timestamp()).write.mode("append").partitionBy("analysis").parquet(path)
+def append_results(results: DataFrame, path: str, run: str | None = None) -> None:
+    """Add results to the table of all runs. A run that is written again replaces its own results of the same analyses, nothing else."""
+    keyed = results.withColumns({"run_ts": F.current_timestamp(), "run": F.lit(run or uuid.uuid4().hex)})
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "analysis").parquet(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -50,6 +50,42 @@ def test_reload_replaces(spark, raw_frame, tmp_path):
     assert spark.table("reloaded").count() == 2
 
 
+def test_a_failed_load_leaves_the_old_rows(spark, raw_frame, tmp_path):
+    path = str(tmp_path / "t")
+    tables.replace_table(raw_frame([{}, {}]), "kept", path)
+    opened = spark.table("kept")
+    broken = raw_frame([{}] * 50).repartition(5).withColumn("temp", F.when(F.col("ordinal") == 49, F.raise_error(F.lit("torn"))).otherwise(F.col("temp")))
+    with pytest.raises(Exception, match="torn"):
+        tables.replace_table(broken, "kept", path)
+    assert spark.table("kept").count() == 2
+    assert tables.replace_table(raw_frame([{}] * 3).withColumn("more", F.lit(1)), "kept", path) == 3
+    assert spark.table("kept").count() == 3 and "more" in spark.table("kept").columns
+    assert opened.count() == 2  # who had opened the old version reads it to the end
+
+
+def test_a_run_written_again_replaces_only_itself(spark, tmp_path):
+    path = str(tmp_path / "r")
+    for run, value in (("a", 1.0), ("b", 2.0), ("b", 3.0)):
+        for analysis in ("x", "y"):
+            tables.append_results(tables.long_results(spark.range(1).select(F.lit(value).alias("m")), analysis, ["m"]), path, run)
+    got = sorted((r["run"], r["analysis"], r["value"]) for r in spark.read.parquet(path).collect())
+    assert got == [("a", "x", 1.0), ("a", "y", 1.0), ("b", "x", 3.0), ("b", "y", 3.0)]
+
+
+def test_both_sides_of_a_scan_are_written_once(spark, tmp_path):
+    rows = [GOOD, {**GOOD, "temp": "warm", "traffic_volume": "1e"}, {**GOOD, "clouds_all": ""}, {**GOOD, "date_time": "soon"}]
+    path = write(tmp_path / "a.csv", HEADER, rows)
+    with open(path, "a") as file:
+        file.write("None,1.0\n" + ",".join(GOOD.values()) + ",extra\n\n")
+    accepted, refused, counts = raw.split_scan(spark, path, str(tmp_path / "out"))
+    assert counts == {"read": 6, "accepted": 2, "refused": 4, "line": 2, **dict.fromkeys(HEADER, 0), "temp": 1, "traffic_volume": 1, "date_time": 1}
+    assert accepted.count() == 2 and accepted.where("clouds_all IS NULL").count() == 1 and not {"rejected", "cells", "refused"} & set(accepted.columns)
+    why = {tuple(r["rejected"]): r["cells"] for r in refused.where("NOT array_contains(rejected, 'line')").collect()}
+    assert why[("temp", "traffic_volume")]["temp"] == "warm" and why[("date_time",)]["date_time"] == "soon"
+    torn = {r["cells"]["line"] for r in refused.where("array_contains(rejected, 'line')").collect()}
+    assert torn == {"None,1.0", ",".join(GOOD.values()) + ",extra"}
+
+
 def test_year_and_month_are_partitions(spark, raw_frame, tmp_path):
     path = str(tmp_path / "m")
     tables.write_by_month(raw_frame([{}, {"date_time": "2023-05-01 00:00:00"}]), path)

@@ -7,11 +7,12 @@ from flowgauge.functions import fields
 from flowgauge.operators import advice, cleaning, drift, features, models, rules, runs, scoring, sequences
 from flowgauge.plans import prepared
 from flowgauge.plans.analysis import MINED, RULE_CONFIDENCE
+from flowgauge.plans.basics import ALL_COLUMNS, MEASURES
 from flowgauge.plans.checks import CLEAN, FEAT, OBS, STAMP, TEST, TRAIN, time_of_day
 from flowgauge.plans.modelling import KEYS, experiment_table
 from flowgauge.plans.prepared import SPLIT, clean_rows, feature_rows, place, split_rows
 from flowgauge.plans.registry import query
-from flowgauge.sources.views import event_columns, requests_from_events, score_requests_view
+from flowgauge.sources.views import OBS_COLUMNS, event_columns, requests_from_events, score_requests_view
 from flowgauge.streaming import jobs
 
 # --- drift ------------------------------------------------------------------------------------
@@ -292,12 +293,62 @@ def stream_rejected(spark, sf_dir):
     return _listed_errors(spark.read.parquet(out))
 
 
-@query("stream_clean", f"WITH {OBS} SELECT DISTINCT series_id, {STAMP} FROM obs")
+def _shuffled_stream(spark, sf_dir):
+    """The events as files that hold rows of all times, one to a batch: hours and input order arrive mixed."""
+    def build(path):
+        spark.read.parquet(f"{sf_dir}/events.parquet").repartition(5, F.hash("event_id")).write.mode("overwrite").parquet(path)
+
+    folder = prepared.once(place(spark, sf_dir, "events_shuffled"), build)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return stream.select(*[c.alias(n) for n, c in event_columns().items()])
+
+
+ALL_TIME = "60 days"  # nothing is late
+
+
+def _first_of_stream(spark, sf_dir):
+    return _drained(spark, sf_dir, "first", lambda o, c: jobs.stream_first(_shuffled_stream(spark, sf_dir), o, c, ALL_TIME))
+
+
+@query("stream_first", f"""WITH {OBS} SELECT {ALL_COLUMNS}, count(*) OVER (PARTITION BY series_id, date_time) AS n FROM obs
+QUALIFY row_number() OVER (PARTITION BY series_id, date_time ORDER BY ordinal) = 1""", MEASURES)
+def stream_first(spark, sf_dir):
+    """The first row by input order of every hour, though the rows arrive in another order."""
+    return jobs.read_first(spark, _first_of_stream(spark, sf_dir)).select(*OBS_COLUMNS, "n")
+
+
+@query("stream_clean", f"WITH {CLEAN} SELECT {ALL_COLUMNS} FROM clean", MEASURES)
 def stream_clean(spark, sf_dir):
-    """The kept keys; which repeat is kept depends on arrival."""
+    """What the batch chain gives, all columns."""
     medians = cleaning.month_medians(clean_rows(spark, sf_dir))
-    out = _drained(spark, sf_dir, "clean", lambda o, c: jobs.stream_clean(_raw_stream(spark, sf_dir), medians, o, c))
-    return spark.read.parquet(out).select(*KEYS)
+    out = _drained(spark, sf_dir, "clean", lambda o, c: jobs.stream_clean(_shuffled_stream(spark, sf_dir), o, c, ALL_TIME))
+    return jobs.read_clean(spark, out, medians).select(*OBS_COLUMNS)
+
+
+def _hours_with_late(spark, sf_dir):
+    return _drained(spark, sf_dir, "late", lambda o, c: jobs.stream_hourly(_shuffled_stream(spark, sf_dir), o, c, "10 days"))
+
+
+@query("stream_late", f"""WITH {OBS} SELECT strftime(date_time, '%Y-%m-%d %H:%M:%S') AS hour_start, weather_main, count(*) AS arrived,
+true AS late_only_if_closed FROM obs GROUP BY 1, 2""")
+def stream_late(spark, sf_dir):
+    """Counted and late rows of every hour and weather are together the rows that came; only closed hours have late ones."""
+    out = _hours_with_late(spark, sf_dir)
+    key = ["hour_start", "weather_main"]
+    late = jobs.read_late(spark, out).groupBy(*key).agg(F.count(F.lit(1)).alias("late"))
+    last = spark.read.parquet(f"{out}/progress").agg(F.max("seen")).scalar()
+    both = jobs.read_hourly(spark, out).join(late, key, "full_outer")
+    past = F.coalesce("closed", F.col("hour_start") < last - F.expr("INTERVAL 10 days"))
+    return both.select(*key, (F.coalesce("n", F.lit(0)) + F.coalesce("late", F.lit(0))).alias("arrived"), (F.col("late").isNull() | past).alias("late_only_if_closed"))
+
+
+@query("stream_late_share", f"WITH {OBS} SELECT count(*) AS arrived, true AS some_late, true AS some_closed, true AS some_open FROM obs")
+def stream_late_share(spark, sf_dir):
+    out = _hours_with_late(spark, sf_dir)
+    hours = jobs.read_hourly(spark, out).agg(F.sum("n").alias("n"), F.bool_or("closed").alias("some_closed"), F.bool_or(~F.col("closed")).alias("some_open"))
+    late = jobs.read_late(spark, out).agg(F.count(F.lit(1))).scalar()
+    return hours.select((F.col("n") + late).alias("arrived"), (late > 0).alias("some_late"), "some_closed", "some_open")
 
 
 @query("stream_drift", f"""WITH {FEAT}, {_CURRENT}, {_psi('current_rows')}
@@ -325,4 +376,4 @@ avg(traffic_volume) AS avg_volume FROM obs GROUP BY 1, 2""", ["avg_volume"])
 def stream_hourly(spark, sf_dir):
     """Every hour that arrived, the open ones at the end as well."""
     out = _drained(spark, sf_dir, "hourly", lambda o, c: jobs.stream_hourly(_raw_stream(spark, sf_dir), o, c))
-    return jobs.read_hourly(spark, out)
+    return jobs.read_hourly(spark, out).drop("closed")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -14,7 +15,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,12 +52,29 @@ def _fitted(stages: list, train: DataFrame) -> PipelineModel:
 
 def _forest(**extra) -> dict:
     # large node groups per pass: fewer scans of the training data at every tree level
+    depth = extra.pop("depth", FOREST_DEPTH)
     return dict(
-        numTrees=extra.pop("trees", FOREST_TREES), maxDepth=extra.pop("depth", FOREST_DEPTH), seed=SEED,
-        maxMemoryInMB=1024, **extra,
+        numTrees=extra.pop("trees", FOREST_TREES), maxDepth=depth, maxBins=extra.pop("bins", 32), seed=SEED,
+        # deep trees: each row remembers its node instead of walking down from the root at every level
+        maxMemoryInMB=1024, cacheNodeIds=depth > FOREST_DEPTH, checkpointInterval=10, **extra,
     )
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """The training rows in as many tasks as the session shuffles to, whatever files they came in; lineage of deep trees is cut in the shared folder."""
+    spark = train.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(work_path(spark, "node_ids"))
+    return train.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *[c for c in ("series_id", "date_time") if c in train.columns])
+
+
+def forest_limits(model: PipelineModel) -> dict[str, int]:
+    """Which limit a fitted forest has met: trees, nodes, deepest tree, the depth allowed and the trees that reached it."""
+    forest = model.stages[-1]
+    depths, allowed = [tree.depth for tree in forest.trees], forest.getOrDefault("maxDepth")
+    return {"trees": len(depths), "nodes": forest.totalNumNodes, "depth_reached": max(depths), "depth_allowed": allowed, "trees_cut": sum(d >= allowed for d in depths)}
+
+
 def fit_linear(train: DataFrame, features: Sequence[str] = FEATURES, label: str = "traffic_volume") -> PipelineModel:
     """Least squares by the direct solver: one pass over the rows.
 
@@ -75,7 +93,7 @@ def fit_forest_regressor(train: DataFrame, features: Sequence[str] = FEATURES, *
     stage = RandomForestRegressor(
         labelCol="traffic_volume", predictionCol=VOLUME, featureSubsetStrategy="all", **_forest(**params)
     )
-    return Pipeline(stages=[_assembler(features), stage]).fit(train)
+    return Pipeline(stages=[_assembler(features), stage]).fit(spread(train))
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str] = FEATURES, label: str = "congestion") -> PipelineModel:
@@ -100,7 +118,7 @@ def fit_forest_classifier(
         labelCol=label, predictionCol=CLASS, probabilityCol="_probability", rawPredictionCol="_raw",
         **extra, **_forest(**params),
     )
-    return _fitted([_assembler(features), stage], train)
+    return _fitted([_assembler(features), stage], spread(train))
 
 
 def balanced_weights(train: DataFrame, label: str) -> DataFrame:
@@ -256,16 +274,25 @@ def forecast_rows(df: DataFrame, split: str, channels: Sequence[str] = SEQUENCE_
     )
 
 
-def lag_forecast(df: DataFrame, split: str, nth: int = 1) -> DataFrame:
-    """Test rows with ``forecast`` (linear model on the look-back) and ``persistence`` (previous row).
+def boosted_forecaster(trees: int = 20, depth: int = 4) -> GBTRegressor:
+    """Gradient boosting on the look-back: finds what a linear model can't, such as thresholds and hours that differ in kind."""
+    return GBTRegressor(labelCol="target", predictionCol="forecast", maxIter=trees, maxDepth=depth, stepSize=0.2, subsamplingRate=0.8, seed=SEED)
+
+
+def lag_forecast(df: DataFrame, split: str, nth: int = 1, estimator=None) -> DataFrame:
+    """Test rows with ``forecast`` (a model on the look-back, linear by default) and ``persistence`` (previous row).
 
-    All training windows are used; ``nth`` keeps every nth of them on request.
+    All training windows are used; ``nth`` keeps every nth of them on request. Windows are made once: both sides of the split and every pass of
+    the fit read them from a stored table.
     """
-    rows = forecast_rows(df, split)
+    made = forecast_rows(df, split)
+    path = work_path(df.sparkSession, "windows", uuid.uuid4().hex)
+    made.write.parquet(path)
+    rows = df.sparkSession.read.schema(made.schema).parquet(path)
     train = rows.where(before(split))
     if nth > 1:
         train = row_positions(train).where(F.col("position") % nth == 0)
-    model = LinearRegression(labelCol="target", predictionCol="forecast", regParam=0.01).fit(train)
+    model = (estimator or LinearRegression(labelCol="target", predictionCol="forecast", regParam=0.01)).fit(train)
     scored = model.transform(rows.where(~before(split))).drop("features", "target")
     back = unstandardize(scored, {"forecast": SEQUENCE_CHANNELS[0]}, fit_on=df.where(before(split)))
     previous = previous_value(df.select("series_id", "date_time", "traffic_volume"), "traffic_volume", "persistence")

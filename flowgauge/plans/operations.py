@@ -278,12 +278,15 @@ def _drained(spark, sf_dir, name, start):
     return prepared.once(place(spark, sf_dir, f"streams/{name}"), build) + "/out"
 
 
-@query("stream_score")
-def stream_score(spark, sf_dir):
+def stream_score_folder(spark, sf_dir):
     served = _served(spark, sf_dir)
-    out = _drained(spark, sf_dir, "score", lambda o, c: jobs.stream_score(
+    return _drained(spark, sf_dir, "score", lambda o, c: jobs.stream_score(
         requests_from_events(_event_stream(spark, sf_dir)), *served, o, c))
-    return spark.read.parquet(out)
+
+
+@query("stream_score")
+def stream_score(spark, sf_dir):
+    return spark.read.parquet(stream_score_folder(spark, sf_dir))
 
 
 @query("stream_rejected", f"WITH {_CHECKED} SELECT * FROM checked WHERE errors <> ''", _REQUEST_NUMBERS)

@@ -25,6 +25,7 @@ MONTH_COLUMNS = ("year", "month_part")
 
 _done: set[str] = set()
 _schemas: dict[str, StructType] = {}
+_models: dict[str, PipelineModel] = {}
 
 
 def place(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -85,9 +86,11 @@ FITS = {
 
 
 def model(spark: SparkSession, sf_dir: str, name: str) -> PipelineModel:
-    """Fitted on the training rows at first use, then loaded from the store."""
+    """Fitted on the training rows at first use, then loaded from the store, once an application."""
     path = once(
         place(spark, sf_dir, f"models/{name}"),
         lambda p: tables.save_model(FITS[name](split_rows(spark, sf_dir)[0]), p),
     )
-    return tables.load_model(path)
+    if path not in _models:
+        _models[path] = tables.load_model(path)
+    return _models[path]

@@ -42,12 +42,11 @@ round(avg(traffic_volume), 1) AS avg_hourly_volume {_YEARS}""", history, ["avg_h
 _named("holiday_counts", f"""WITH {OBS} SELECT holiday, count(*) AS flagged_hours,
 count(DISTINCT CAST(date_time AS DATE)) AS distinct_days FROM obs WHERE holiday <> 'None' GROUP BY 1""", observations)
 _LISTED = ", ".join(f"('{n}', DATE '{d}')" for n, d in HOLIDAY_DAYS)
-_named("holiday_temps", f"""WITH {OBS}, listed(holiday_name, holiday_date) AS (VALUES {_LISTED})
-SELECT holiday_name, strftime(holiday_date, '%Y-%m-%d') AS holiday_date, count(t.date_time) AS hours_recorded,
-       round(avg(t.temp - 273.15::DOUBLE), 1) AS avg_temp_c, round(min(t.temp - 273.15::DOUBLE), 1) AS min_temp_c,
-       round(max(t.temp - 273.15::DOUBLE), 1) AS max_temp_c, CAST(sum(t.traffic_volume) AS DOUBLE) AS total_traffic
-FROM listed LEFT JOIN obs t ON CAST(t.date_time AS DATE) = holiday_date GROUP BY holiday_name, listed.holiday_date""",
-       observations, ["avg_temp_c", "min_temp_c", "max_temp_c"])
+_ON_DAY = "FROM obs WHERE date_time >= CAST(day AS TIMESTAMP) AND date_time < CAST(day + INTERVAL 1 DAY AS TIMESTAMP)"
+_named("holiday_temps", f"""WITH {OBS} SELECT name AS holiday_name, strftime(day, '%Y-%m-%d') AS holiday_date, (SELECT count(*) {_ON_DAY}) AS hours_recorded,
+(SELECT round(avg(temp - 273.15::DOUBLE), 1) {_ON_DAY}) AS avg_temp_c, (SELECT round(min(temp - 273.15::DOUBLE), 1) {_ON_DAY}) AS min_temp_c,
+(SELECT round(max(temp - 273.15::DOUBLE), 1) {_ON_DAY}) AS max_temp_c, (SELECT CAST(sum(traffic_volume) AS DOUBLE) {_ON_DAY}) AS total_traffic
+FROM (VALUES {_LISTED}) AS listed(name, day)""", observations, ["avg_temp_c", "min_temp_c", "max_temp_c"])
 _named("holiday_vs_normal", f"""WITH {OBS},
 per_day AS (SELECT bool_or(holiday <> 'None') AS special, sum(traffic_volume) AS volume FROM obs GROUP BY date_trunc('day', date_time))
 SELECT if(coalesce(special, false), 'Holiday', 'Non-holiday') AS day_type, count(*) AS days, round(avg(volume), 0) AS avg_daily_volume

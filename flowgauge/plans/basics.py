@@ -6,7 +6,7 @@ from flowgauge.constants import CONGESTION_THRESHOLD, HOT_KELVIN, KELVIN_OFFSET
 from flowgauge.functions import fields
 from flowgauge.operators import cleaning, drift, models, profiles, statistics
 from flowgauge.plans import prepared
-from flowgauge.plans.checks import CLEAN, FEAT, HIST, OBS, STAMP, TRAIN, time_of_day
+from flowgauge.plans.checks import CLEAN, FEAT, HIST, OBS, STAMP, TRAIN, cleaned, time_of_day
 from flowgauge.plans.prepared import SPLIT, clean_rows, feature_rows, place
 from flowgauge.plans.registry import query
 from flowgauge.plans.suite import SUITE, holiday_list, run_named, store_as_results, verify_load, write_suite
@@ -240,11 +240,23 @@ def keep_zero_report(spark, sf_dir):
     return cleaning.zero_volume_rows(clean_rows(spark, sf_dir))
 
 
+_ZEROED = f"""{OBS}, zeroed AS (SELECT * REPLACE (CASE WHEN ordinal % 61 = 0 THEN 0 ELSE traffic_volume END AS traffic_volume) FROM obs), {cleaned('zeroed', 'kept_zeros')}"""
+
+
+@query("zero_volume_report", f"""WITH {_ZEROED} SELECT series_id, ordinal, {STAMP}, (SELECT count(*) FROM kept_zeros) AS rows_kept FROM kept_zeros WHERE traffic_volume = 0""")
+def zero_volume_report(spark, sf_dir):
+    """Hours without traffic stay in the clean table and are reported."""
+    raw_rows = observations(spark, sf_dir)
+    zeroed = raw_rows.withColumn("traffic_volume", F.when(F.col("ordinal") % 61 == 0, F.lit(0).cast("long")).otherwise(F.col("traffic_volume")))
+    clean = cleaning.clean(zeroed)
+    return cleaning.zero_volume_rows(clean).withColumn("rows_kept", clean.agg(F.count(F.lit(1))).scalar())
+
+
 @query("time_split", f"""WITH {FEAT} SELECT part, count(*) AS n, strftime(min(date_time), '%Y-%m-%d %H:%M:%S') AS first_hour,
 strftime(max(date_time), '%Y-%m-%d %H:%M:%S') AS last_hour
 FROM (SELECT *, CASE WHEN {TRAIN} THEN 'train' ELSE 'test' END AS part FROM feat) GROUP BY part""")
 def time_split(spark, sf_dir):
-    parts = zip(("train", "test"), models.time_split(feature_rows(spark, sf_dir), SPLIT))
+    parts = zip(("train", "test"), prepared.split_rows(spark, sf_dir))
     train, test = (
         df.groupBy(F.lit(name).alias("part")).agg(
             F.count(F.lit(1)).alias("n"), F.min("date_time").alias("first_hour"), F.max("date_time").alias("last_hour"))
@@ -266,6 +278,15 @@ def min_sample_filter(spark, sf_dir):
     return n.where(F.col("n") >= 30).withColumn("small_sample", F.col("n") < 60)
 
 
+@query("min_sample_groups", f"""WITH {OBS}, g AS (SELECT holiday, weather_main, count(*) AS n, avg(traffic_volume) AS avg_volume FROM obs GROUP BY 1, 2)
+SELECT *, (SELECT count(*) FROM g WHERE n < 30) AS groups_left_out FROM g WHERE n >= 30""", ["avg_volume"])
+def min_sample_groups(spark, sf_dir):
+    """Holiday and weather: most holidays have too few hours to compare."""
+    groups = observations(spark, sf_dir).groupBy("holiday", "weather_main").agg(F.count(F.lit(1)).alias("n"), F.avg("traffic_volume").alias("avg_volume"))
+    left_out = groups.agg(F.count_if(F.col("n") < 30)).scalar()
+    return groups.where(F.col("n") >= 30).withColumn("groups_left_out", left_out)
+
+
 @query("drop_columns", f"""WITH {CLEAN} SELECT * EXCLUDE (holiday, temp, weather_main, weather_description, date_time), {STAMP}
 FROM clean""", ["rain_1h", "snow_1h"])
 def drop_columns(spark, sf_dir):

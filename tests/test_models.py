@@ -187,3 +187,37 @@ def test_split_opens_only_its_months(spark, sf_dir):
         plan = side._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: []" not in plan and "PartitionFilters: [" in plan
         assert not {"year", "month_part"} & set(side.columns)
+
+
+def test_boosted_forecast_beats_persistence_and_the_line(signal):
+    mae = F.avg(F.abs(F.col("actual") - F.col("forecast")))
+    boosted = models.lag_forecast(signal, SPLIT, estimator=models.boosted_forecaster()).agg(mae.alias("f"), F.avg(F.abs(F.col("actual") - F.col("persistence"))).alias("p")).first()
+    assert boosted["f"] < boosted["p"]
+    assert boosted["f"] < models.lag_forecast(signal, SPLIT).agg(mae).first()[0]  # rush hours are no line
+
+
+def test_deep_trees_say_what_they_reached(parts):
+    deep = models.forest_limits(models.fit_forest_regressor(parts[0], trees=3, depth=30, bins=128))
+    cut = models.forest_limits(models.fit_forest_regressor(parts[0], trees=3, depth=2))
+    assert (cut["depth_reached"], cut["trees_cut"], cut["depth_allowed"]) == (2, 3, 2)
+    assert deep["depth_allowed"] == 30 and deep["depth_reached"] > 2 and deep["nodes"] > cut["nodes"]
+
+
+def test_requests_are_dealt_out_before_scoring(spark, fitted):
+    rows = [(i, 17, 2, 1, 5.0, 0.0, 0.0, 40.0, "Clear", False) for i in range(40)]
+    valid, _ = scoring.split_requests(spark.createDataFrame(rows, REQUEST).coalesce(1))
+    scored = scoring.score_requests(valid, fitted["regressor"], fitted["classifier"])
+    assert "Exchange hashpartitioning(request_id" in scored._jdf.queryExecution().executedPlan().toString()
+    assert scored.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_listed_days_reach_the_scan(spark, sf_dir):
+    from flowgauge.plans.suite import holiday_list, run_named
+    from flowgauge.sources.views import history
+
+    rows = history(spark, sf_dir)
+    result = run_named("holiday_temps", rows, holiday_list(rows, [("A", "1997-07-04"), ("B", "1997-07-05"), ("C", "1998-12-25")]))
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    pushed = [part for part in plan.split("PushedFilters: ")[1:]]
+    assert any("GreaterThanOrEqual(o_orderdate,1997-07-04" in p and "LessThan(o_orderdate,1997-07-06" in p for p in pushed)
+    assert result.count() == 3

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from flowgauge.constants import CONGESTION_QUANTILE, SMALL_SAMPLE
 from flowgauge.functions.fields import is_weekend, same_text
-from flowgauge.functions.ordered import exact_quantiles
+from flowgauge.functions.ordered import quantiles_of_counts
+from flowgauge.operators.statistics import moments
 
 
 
@@ -89,18 +90,31 @@ def monthly_rhythm(df: DataFrame) -> DataFrame:
 
 
 def summary(df: DataFrame) -> DataFrame:
-    """One row: size, span, centre, congestion share and extreme hours."""
-    v = F.col("traffic_volume")
-    q = exact_quantiles(df, v, [0.5, CONGESTION_QUANTILE]).select("q").scalar()
-    base = df.agg(
-        F.count(F.lit(1)).alias("n"), F.min("date_time").alias("first_hour"), F.max("date_time").alias("last_hour"),
-        F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"),
-        F.count_if(v >= q[1]).alias("congested_n"),
+    """One row: size, span, centre, congestion share and extreme hours.
+
+    The rows are read once, into counts of (hour, volume); volumes and hours are summed from that one shuffle.
+    """
+    v, n = F.col("traffic_volume"), F.col("n")
+    cells = df.groupBy(F.hour("date_time").alias("hour"), "traffic_volume").agg(
+        F.count(F.lit(1)).alias("n"), F.min("date_time").alias("first_hour"), F.max("date_time").alias("last_hour")
+    )
+    counts = cells.where(v.isNotNull()).groupBy(v.cast("double").alias("value")).agg(F.sum("n").alias("n"))
+    q = quantiles_of_counts(counts, [0.5, CONGESTION_QUANTILE]).select("q").scalar()
+    centre = moments(counts).select(F.struct("mean", "std")).scalar()
+    hours = cells.groupBy("hour").agg(
+        F.sum("n").alias("n"), F.sum(F.when(v >= q[1], n).otherwise(0)).alias("congested_n"), F.min("first_hour").alias("first_hour"),
+        F.max("last_hour").alias("last_hour"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.try_divide(F.sum(v * n), F.sum(F.when(v.isNotNull(), n))).alias("avg_volume"),
+    )
+    base = hours.agg(  # 24 rows
+        F.sum("n").alias("n"), F.min("first_hour").alias("first_hour"), F.max("last_hour").alias("last_hour"), F.min("min").alias("min"),
+        F.max("max").alias("max"), F.sum("congested_n").alias("congested_n"),
     )
-    extremes = extreme_groups(hourly_profile(df), "hour")
+    extremes = extreme_groups(hours.select("hour", "avg_volume"), "hour")
     best = extremes.select(F.struct("busiest_hour", "busiest_avg", "quietest_hour", "quietest_avg")).scalar()
     return base.withColumns({
-        "median": q[0], "q3": q[1], "congested_pct": F.try_divide(F.lit(100.0) * F.col("congested_n"), F.col("n")), "_x": best,
+        "mean": centre["mean"], "std": centre["std"], "median": q[0], "q3": q[1],
+        "congested_pct": F.try_divide(F.lit(100.0) * F.col("congested_n"), F.col("n")), "_x": best,
     }).select("*", "_x.*").drop("_x")
 
 

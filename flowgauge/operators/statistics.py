@@ -6,20 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.constants import CONGESTION_THRESHOLD, HOT_KELVIN
-from flowgauge.functions.ordered import exact_quantiles
+from flowgauge.functions.ordered import quantiles_of_counts, value_counts
+
+
+def moments(counts: DataFrame) -> DataFrame:
+    """n, mean, std, variance, min, max and population skewness of (value, n) pairs; the pairs are summed about their mean."""
+    v, n = F.col("value"), F.col("n")
+    mean = counts.agg(F.try_divide(F.sum(v * n), F.sum(n))).scalar()
+    d = v - mean
+    sums = counts.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("n"), F.sum(d * d * n).alias("_2"), F.sum(d * d * d * n).alias("_3"), F.min(v).alias("min"), F.max(v).alias("max"),
+    )
+    spread = F.try_divide(F.col("_2"), F.col("n") - 1)
+    return sums.select(
+        "n", mean.alias("mean"), F.sqrt(spread).alias("std"), spread.alias("variance"), "min", "max",
+        F.try_divide(F.col("_3") / F.col("n"), F.pow(F.col("_2") / F.col("n"), 1.5)).alias("_g1"),
+    )
 
 
 def describe(df: DataFrame, column: str = "traffic_volume") -> DataFrame:
-    """Count, mean, quartiles, sample deviation and variance, range and bias-corrected skew in one row."""
-    v = F.col(column)
-    quartiles = exact_quantiles(df, v, [0.25, 0.5, 0.75]).select("q").scalar()
+    """Count, mean, quartiles, sample deviation and variance, range and bias-corrected skew in one row.
+
+    The rows are read once, into (value, count) pairs; all figures come from that one shuffle.
+    """
+    counts = value_counts(df, F.col(column))
+    quartiles = quantiles_of_counts(counts, [0.25, 0.5, 0.75]).select("q").scalar()
     n = F.col("n").cast("double")
+    kind = df.schema[column].dataType
     return (
-        df.agg(
-            F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-            F.var_samp(v).alias("variance"), F.min(v).alias("min"), F.max(v).alias("max"),
-            F.skewness(v).alias("_g1"),
-        )
+        moments(counts).withColumns({c: F.col(c).cast(kind) for c in ("min", "max")})
         .withColumn("_q", quartiles)
         .select(
             "n", "mean", F.col("_q")[1].alias("median"), "std", "variance", "min", "max",

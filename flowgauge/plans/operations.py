@@ -89,9 +89,8 @@ performance AS (SELECT *, CASE WHEN mae > reference_mae * 1.5 THEN 'ALERT' ELSE
 
 def _persistence_drift(spark, sf_dir):
     rows = clean_rows(spark, sf_dir).select(*KEYS, "traffic_volume")
-    train, test = models.time_split(sequences.previous_value(rows, "traffic_volume", "forecast"), SPLIT)
-    error = F.abs(F.col("traffic_volume") - F.col("forecast"))
-    return drift.performance_drift(test, "traffic_volume", "forecast", train.agg(F.avg(error)).scalar())
+    forecast = sequences.previous_value(rows, "traffic_volume", "forecast")
+    return drift.performance_drift_within(forecast, "traffic_volume", "forecast", ~models.before(SPLIT))
 
 
 @query("performance_drift", f"WITH {CLEAN}, {_FORECAST} SELECT * FROM performance", ["mae", "reference_mae"])

@@ -117,11 +117,10 @@ def test_itemsets_equal_frequent_pattern_mining(spark, sf_dir):
     assert ours == {(tuple(sorted(r["items"])), r["freq"]) for r in mined}
 
 
-def reads(df):
-    """(the branches of the plan that read the table, those of them that read another's shuffle again when the plan runs)."""
-    planned = df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+def shared_shuffles(df):
+    """Branches that read another one's shuffle again when the plan runs."""
     df.collect()
-    return planned, df._jdf.queryExecution().executedPlan().toString().count("ReusedExchange")
+    return df._jdf.queryExecution().executedPlan().toString().count("ReusedExchange")
 
 
 def test_description_and_summary_share_a_shuffle(spark, raw_frame, tmp_path):
@@ -129,9 +128,7 @@ def test_description_and_summary_share_a_shuffle(spark, raw_frame, tmp_path):
 
     raw_frame([{"traffic_volume": v, "date_time": f"2024-01-01 {v % 24:02d}:00:00"} for v in (5, 9, 9, 14, 30)]).write.parquet(str(tmp_path / "t"))
     rows = spark.read.parquet(str(tmp_path / "t"))
-    branches, again = reads(statistics.describe(rows))
-    assert again >= branches - 1 > 0
-    assert reads(profiles.summary(rows))[1] >= 5  # its plan prints subqueries inside subqueries again
+    assert min(shared_shuffles(make(rows)) for make in (statistics.describe, profiles.summary)) >= 5
     got = profiles.summary(rows).first()
     assert (got["n"], got["min"], got["max"], got["mean"], got["median"], got["congested_n"]) == (5, 5, 30, 13.4, 9.0, 2)
     assert profiles.summary(rows.limit(0)).first()["n"] in (0, None)

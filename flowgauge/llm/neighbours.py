@@ -34,6 +34,7 @@ TABLES = 6
 PROBES = 24  # to the power of the depth
 BUCKET_ROWS = 400
 GROUP_ROWS = 20_000
+TIE = 1e-9
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -126,14 +127,18 @@ def _cell(k: int):
                 if not len(q) or not len(c):
                     continue
                 cosine = vectors[q] @ vectors[c].T
-                # a little more than k, so that ties in the last digits are settled by the exact score
-                most = min(k + 8, len(c))
-                top = np.argpartition(-cosine, most - 1, axis=1)[:, :most]
-                out.append(pd.DataFrame({"query_id": np.repeat(ident[q], most), "class_id": ident[c][top].ravel(), "near": np.take_along_axis(cosine, top, 1).ravel()}))
+                # all that tie with the last place within the digits of a product, so that the exact score settles them;
+                # one place more than k, as the query's own class may hold one
+                most = min(k + 1, len(c))
+                last = -np.partition(-cosine, most - 1, axis=1)[:, most - 1:most]
+                row, column = np.nonzero(cosine >= last - TIE)
+                out.append(pd.DataFrame({"query_id": ident[q][row], "class_id": ident[c][column], "near": cosine[row, column]}))
         if not out:
             return pd.DataFrame({"query_id": np.array([], np.int64), "class_id": np.array([], np.int64)})
         found = pd.concat(out).drop_duplicates(["query_id", "class_id"])
-        return found.sort_values(["query_id", "near"], ascending=[True, False]).groupby("query_id").head(k + 8)[["query_id", "class_id"]]
+        found = found.sort_values(["query_id", "near"], ascending=[True, False], ignore_index=True)
+        least = found.groupby("query_id")["near"].transform(lambda near: near.iloc[min(k, len(near) - 1)])
+        return found[found["near"] >= least - TIE][["query_id", "class_id"]]
 
     return best
 

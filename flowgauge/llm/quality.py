@@ -33,7 +33,7 @@ TRAIN_ROWS = 3000
 TRAIN_CHUNKS = 6
 STEPS = 470
 THRESHOLD = 0.7
-PART_CHUNKS = 2048
+PART_CHUNKS = 256
 PAD = 32
 
 
@@ -141,11 +141,11 @@ class Network:
 
         for data in texts:
             chunks = chunks_of(data)
-            if len(chunks) > PART_CHUNKS // 4:
+            if len(chunks) > PART_CHUNKS:
                 flush()
                 out.append(self.score(data))
                 continue
-            if sum(map(len, group)) + len(chunks) > PART_CHUNKS // 4:
+            if sum(map(len, group)) + len(chunks) > PART_CHUNKS:
                 flush()
             group.append(chunks)
         flush()

@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES, HASHED_BYTES = 4 << 20, 1 << 18
+KEPT_POWERS = 1 << 20
 BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 SPACE = np.zeros(256, bool)
@@ -39,7 +40,10 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    return _powers(base, 1 << max(16, int(n).bit_length()))[:n]
+    size = 1 << max(16, int(n).bit_length())
+    if size > KEPT_POWERS:  # rare and large: not kept by the worker
+        return _powers.__wrapped__(base, size)[:n]
+    return _powers(base, size)[:n]
 
 
 def inverse(base: int) -> int:
@@ -92,7 +96,7 @@ def words_of(texts: list[bytes], lower: bool = False) -> Words:
     hashes = np.empty(len(starts), np.uint64)
     i = 0
     while i < len(starts):  # piece by piece, so that a very long text needs little more than its own words
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE_BYTES)))
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASHED_BYTES)))
         lo, hi = starts[i], ends[j - 1]
         hashes[i:j] = run_hashes(data[lo:hi], starts[i:j] - lo, ends[i:j] - lo, BYTE_BASE)
         i = j

@@ -16,7 +16,7 @@ _TEST_ROWS = f"(SELECT count(*) FROM feat WHERE {TEST})"
 _TRAIN_ROWS = f"(SELECT count(*) FROM feat WHERE {TRAIN})"
 
 
-def total():
+def counted():
     return F.count(F.lit(1))
 
 
@@ -27,7 +27,7 @@ def linear_regression_holds(spark, sf_dir):
     r = F.col("traffic_volume") - F.col(models.VOLUME)
     x = {c: F.col(c).cast("double") for c in FEATURES}
     off = [F.abs(F.coalesce(F.try_divide(F.sum(r * v), F.sqrt(F.sum(r * r) * F.sum(v * v))), F.lit(0.0))) for v in x.values()]
-    sums = train.agg(total().alias("n"), F.abs(F.try_divide(F.sum(r), F.sum(F.abs(r)))).alias("s"), F.greatest(*off).alias("o"))
+    sums = train.agg(counted().alias("n"), F.abs(F.try_divide(F.sum(r), F.sum(F.abs(r)))).alias("s"), F.greatest(*off).alias("o"))
     return sums.select("n", (F.col("s") < 1e-6).alias("residuals_sum_to_zero"), (F.col("o") < 1e-4).alias("residuals_orthogonal"))
 
 
@@ -40,7 +40,7 @@ def logistic_regression_holds(spark, sf_dir):
     """The intercept is free, so probabilities of the training rows sum to the number of congested ones."""
     p = F.col(models.PROBABILITY)
     return _scored(spark, sf_dir, "logistic", 0).agg(
-        total().alias("n"), (F.abs(F.sum(p) - F.sum("congestion")) < 1e-3 * total()).alias("calibrated"),
+        counted().alias("n"), (F.abs(F.sum(p) - F.sum("congestion")) < 1e-3 * counted()).alias("calibrated"),
         F.bool_and(p.between(0, 1)).alias("in_range"), F.bool_and((p > 0.5) == (F.col(models.CLASS) == 1)).alias("class_fits"))
 
 
@@ -53,7 +53,7 @@ def rf_regressor_holds(spark, sf_dir):
     error = F.col("traffic_volume") - F.col(models.VOLUME)
     better = fitted.agg(F.avg(error * error) < F.var_pop("traffic_volume")).scalar()
     found = models.forest_limits(model)
-    scored = models.predict_volume(model, test).agg(total().alias("n"), F.bool_and(F.col(models.VOLUME).between(lowest - 1e-6, highest + 1e-6)).alias("in_training_range"))
+    scored = models.predict_volume(model, test).agg(counted().alias("n"), F.bool_and(F.col(models.VOLUME).between(lowest - 1e-6, highest + 1e-6)).alias("in_training_range"))
     return scored.select(
         "n", "in_training_range", better.alias("better_than_mean_on_training"), F.lit(found["trees"]).alias("trees"),
         F.lit(found["depth_reached"] <= found["depth_allowed"] and (found["trees_cut"] > 0) == (found["depth_reached"] == found["depth_allowed"])).alias("says_its_limit"))
@@ -69,7 +69,7 @@ def rf_classifiers_hold(spark, sf_dir):
     for name in _CLASSIFIERS:
         p = F.col(models.PROBABILITY)
         fits = (p == 0.5) | ((p > 0.5) == (F.col(models.CLASS) == 1))
-        rows.append(_scored(spark, sf_dir, name, 1).agg(total().alias("n"), F.bool_and(p.between(0, 1)).alias("in_range"), F.bool_and(fits).alias("class_fits")).select(
+        rows.append(_scored(spark, sf_dir, name, 1).agg(counted().alias("n"), F.bool_and(p.between(0, 1)).alias("in_range"), F.bool_and(fits).alias("class_fits")).select(
             F.lit(name).alias("model"), "*", F.lit(models.forest_limits(prepared.model(spark, sf_dir, name))["trees"]).alias("trees")))
     return rows[0].unionAll(rows[1])
 
@@ -97,7 +97,7 @@ def deep_forests(spark, sf_dir):
         less = predict(deep, train).agg(F.avg(error)).first()[0] < predict(shallow, train).agg(F.avg(error)).first()[0]
         rows.append((name, a["trees"], a["depth_allowed"], a["depth_reached"] > b["depth_reached"], bool(less)))
     found = spark.createDataFrame(rows, "model string, trees int, depth_allowed int, deeper_than_shallow boolean, fits_training_better boolean")
-    return found.withColumn("n", train.agg(total()).scalar())
+    return found.withColumn("n", train.agg(counted()).scalar())
 
 
 @query("importance_holds", f"SELECT {len(FEATURES)} AS features, true AS sums_to_one, true AS none_negative, true AS top_are_largest")
@@ -106,7 +106,7 @@ def importance_holds(spark, sf_dir):
     top = models.top_features(importance)
     rest = importance.join(top.select("feature"), "feature", "left_anti").agg(F.max("importance")).scalar()
     largest = top.agg((F.count(F.lit(1)) == 5) & (F.min("importance") >= rest)).scalar()
-    return importance.agg(total().alias("features"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"), (F.min("importance") >= 0).alias("none_negative")).select(
+    return importance.agg(counted().alias("features"), (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"), (F.min("importance") >= 0).alias("none_negative")).select(
         "*", largest.alias("top_are_largest"))
 
 
@@ -124,7 +124,7 @@ def clusters_hold(spark, sf_dir):
     nearest = clustered.agg(F.bool_and(F.array(*apart)[F.col("cluster")] <= F.least(*apart) + 1e-9)).scalar()
     sizes = F.bool_and(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b) == n).alias("sizes_sum")
     tried = scores.agg(
-        total().alias("counts_tried"), sizes, (F.max("silhouette") == F.max(F.when(F.col("chosen"), F.col("silhouette")))).alias("chosen_is_best"),
+        counted().alias("counts_tried"), sizes, (F.max("silhouette") == F.max(F.when(F.col("chosen"), F.col("silhouette")))).alias("chosen_is_best"),
         F.bool_and(F.col("silhouette").between(-1, 1)).alias("silhouettes_in_range"))
     profile = models.cluster_profile(clustered)
     groups = models.group_sizes(clustered).agg(F.sum("n")).scalar()
@@ -155,7 +155,7 @@ def lag_forecast_holds(spark, sf_dir):
     for name, estimator in (("linear", None), ("boosted", models.boosted_forecaster(trees=5, depth=3))):
         scored = models.lag_forecast(feature_rows(spark, sf_dir), SPLIT, estimator=estimator)
         rows.append(scored.agg(
-            total().alias("n"), F.avg(F.abs(F.col("actual") - F.col("persistence"))).alias("mae_persistence"),
+            counted().alias("n"), F.avg(F.abs(F.col("actual") - F.col("persistence"))).alias("mae_persistence"),
             F.bool_and(F.col("forecast").isNotNull() & ~F.isnan("forecast")).alias("all_forecast")).select(F.lit(name).alias("model"), "*"))
     return rows[0].unionAll(rows[1])
 
@@ -169,7 +169,7 @@ def shapley_holds(spark, sf_dir):
     background = train.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in FEATURES])
     base = models.predict_class(model, background).select(models.PROBABILITY).scalar()
     mean = models.predict_class(model, test).agg(F.avg(models.PROBABILITY)).scalar()
-    total = values.agg(total().alias("features"), F.sum("mean_signed").alias("s"), F.bool_and(F.abs("mean_signed") <= F.col("mean_abs") + 1e-9).alias("bounded"))
+    total = values.agg(counted().alias("features"), F.sum("mean_signed").alias("s"), F.bool_and(F.abs("mean_signed") <= F.col("mean_abs") + 1e-9).alias("bounded"))
     return total.select("features", (F.abs(F.col("s") - (mean - base)) < 1e-4).alias("adds_up"), "bounded")
 
 
@@ -187,4 +187,4 @@ def stream_score_holds(spark, sf_dir):
     batch = scoring.score_requests(scoring.split_requests(operations.score_requests_view(spark, sf_dir))[0], *operations._served(spark, sf_dir))
     same = streamed.select("request_id", F.struct(*sorted(set(batch.columns) - {"request_id"})).alias("s")).join(
         batch.select("request_id", F.struct(*sorted(set(batch.columns) - {"request_id"})).alias("b")), "request_id", "left")
-    return same.agg(total().alias("n"), F.count_if(F.col("s").eqNullSafe(F.col("b"))).alias("equal_to_batch"))
+    return same.agg(counted().alias("n"), F.count_if(F.col("s").eqNullSafe(F.col("b"))).alias("equal_to_batch"))

@@ -221,3 +221,13 @@ def test_listed_days_reach_the_scan(spark, sf_dir):
     pushed = [part for part in plan.split("PushedFilters: ")[1:]]
     assert any("GreaterThanOrEqual(o_orderdate,1997-07-04" in p and "LessThan(o_orderdate,1997-07-06" in p for p in pushed)
     assert result.count() == 3
+
+
+def test_forest_rows_go_to_a_task_a_core(spark, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert models.spread(parts[0], parts[0].count()).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert models.fit_tasks(spark, 100 * models.ROWS_A_TASK) == 100

@@ -231,3 +231,25 @@ def test_forest_rows_go_to_a_task_a_core(spark, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert models.fit_tasks(spark, 100 * models.ROWS_A_TASK) == 100
+
+
+def test_starts_share_their_passes(spark, signal, monkeypatch):
+    vectors, whole = models.cluster_input(signal).select("features").persist(), []
+    costs = [models.KMeans(k=3, seed=7 + i, predictionCol="cluster", maxIter=300).fit(vectors).summary.trainingCost for i in range(4)]
+
+    class Counted(models.KMeans):
+        def _fit(self, dataset):
+            whole.append(self.getMaxIter() > 0)
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(models, "KMeans", Counted)
+    model = models.fit_kmeans(vectors, 3, restarts=4, seed=7)
+    assert model.summary.trainingCost == pytest.approx(min(costs)) and sum(whole) == 1
+    vectors.unpersist()
+
+
+def test_alike_rows_make_fewer_centres(spark):
+    vectors = spark.createDataFrame([(Vectors.dense(float(i % 2), 1.0),) for i in range(20)], ["features"]).persist()
+    fitted = models.fit_kmeans_counts(vectors, [2, 4], restarts=2)
+    assert {k: len(m.clusterCenters()) for k, m in fitted.items()} == {2: 2, 4: 2}
+    vectors.unpersist()

@@ -233,6 +233,27 @@ def test_forest_rows_go_to_a_task_a_core(spark, parts):
     assert models.fit_tasks(spark, 100 * models.ROWS_A_TASK) == 100
 
 
+def test_forest_tasks_hold_alike_rows_together_in_whole_rounds(spark, monkeypatch):
+    rows = spark.createDataFrame([(i % 7, f"2024-01-01 0{i % 10}:00:00", i * 37 % 101, i % 2) for i in range(700)], "series_id long, date_time string, many int, few int")
+    n, order = models.coarse_first(rows, ["many", "few"])
+    assert (n, order) == (700, ["few", "many"])
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(models, "ROWS_A_TASK", 700 // (cores + 1))  # a few more tasks than cores would leave cores idle
+    assert models.fit_tasks(spark, n) > cores
+    dealt = models.spread(rows, n, order)
+    assert dealt.rdd.getNumPartitions() == 2 * cores
+    tasks = [[(r["few"], r["many"]) for r in task] for task in dealt.rdd.glom().collect()]
+    assert sum(map(len, tasks)) == n and all(task == sorted(task) for task in tasks)
+
+
+def test_fits_get_sorted_rows(spark, parts, monkeypatch):
+    orders, spread = [], models.spread
+    monkeypatch.setattr(models, "spread", lambda train, n, order=(): orders.append(list(order)) or spread(train, n, order))
+    models.fit_forest_regressor(parts[0], trees=2, depth=2)
+    models.fit_forest_classifier(parts[0], trees=2, depth=2)
+    assert len(orders) == 2 and all(sorted(o) == sorted(models.FEATURES) for o in orders)
+
+
 def test_starts_share_their_passes(spark, signal, monkeypatch):
     vectors, whole = models.cluster_input(signal).select("features").persist(), []
     costs = [models.KMeans(k=3, seed=7 + i, predictionCol="cluster", maxIter=300).fit(vectors).summary.trainingCost for i in range(4)]

@@ -211,6 +211,20 @@ def test_requests_are_dealt_out_before_scoring(spark, fitted):
     assert scored.select(F.spark_partition_id()).distinct().count() > 1
 
 
+def test_scoring_tasks_go_by_cores_with_alike_requests_together(spark, fitted):
+    rows = [(i, i % 24, 2, 1, float(i * 7 % 40), 0.0, 0.0, 40.0, "Clear", False) for i in range(2000)]
+    valid, _ = scoring.split_requests(spark.createDataFrame(rows, REQUEST))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        scored = scoring.score_requests(valid, fitted["regressor"], fitted["classifier"])
+        tasks = scored.rdd.map(lambda r: (r["hour"], r["temp_c"])).glom().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(tasks) == 2 * spark.sparkContext.defaultParallelism and sum(map(len, tasks)) == 2000
+    assert all(task == sorted(task) for task in tasks)
+
+
 def test_listed_days_reach_the_scan(spark, sf_dir):
     from flowgauge.plans.suite import holiday_list, run_named
     from flowgauge.sources.views import history

@@ -288,3 +288,26 @@ def test_alike_rows_make_fewer_centres(spark):
     fitted = models.fit_kmeans_counts(vectors, [2, 4], restarts=2)
     assert {k: len(m.clusterCenters()) for k, m in fitted.items()} == {2: 2, 4: 2}
     vectors.unpersist()
+
+
+def test_rows_are_dealt_out_before_a_forest_scores_them(spark, parts, fitted):
+    one = parts[1].coalesce(1)
+    dealt = models.dealt_out(one)
+    tasks = [len(t) for t in dealt.rdd.glom().collect()]
+    assert len(tasks) == 2 * spark.sparkContext.defaultParallelism and sum(tasks) == one.count() and max(tasks) < sum(tasks) / 2
+    columns = ["series_id", "date_time", models.VOLUME]
+    a, b = (models.predict_volume(fitted["regressor"], df).select(*columns) for df in (one, dealt))
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["rf_regressor", "rf_classifier", "rf_regressor_holds", "rf_classifiers_hold"])
+def test_queries_deal_rows_out_to_their_forests(spark, sf_dir, parts, fitted, monkeypatch, name):
+    import __spark_entry__ as entry_point
+
+    sides, dealt_out = [], models.dealt_out
+    monkeypatch.setattr(models, "dealt_out", lambda rows: sides.append(rows) or dealt_out(rows))
+    monkeypatch.setattr(prepared, "model", lambda spark, sf_dir, name: fitted["regressor" if "regressor" in name else "classifier"])
+    monkeypatch.setattr(prepared, "fitted", lambda spark, sf_dir, names: None)
+    monkeypatch.setattr(prepared, "_done", set(prepared._done))  # these scores are for no other test
+    entry_point.queries()[name](spark, sf_dir)
+    assert len(sides) == {"rf_regressor": 1, "rf_classifier": 1}.get(name, 2)

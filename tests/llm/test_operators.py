@@ -102,6 +102,25 @@ def test_suffixes(odd, odd_rows):
     assert keyed(suffixes.deduplicated(odd)) == sorted(expected, key=repr)
 
 
+def test_suffixes_that_occur_once_are_not_stored(spark, monkeypatch):
+    """Stretches of one document only are compared, but leave no rows."""
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 123, 4000, dtype=np.uint8)).decode() for _ in range(30)]
+    rows, keep = [], suffixes.stored
+
+    def counted(df, name):
+        out = keep(df, name)
+        rows.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(suffixes, "stored", counted)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, texts[3][100:200]])], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in suffixes.deduplicated(df).collect()}
+    assert sum(n for _, n in rows) < 200, rows
+    assert (got[30]["n_bytes"], got[30]["n_removed"], got[30]["n_spans"]) == (100, 100, 1)
+    assert all(got[i]["n_removed"] == 0 for i in range(30))
+
+
 def test_suffixes_of_a_hot_passage_never_meet_in_one_group(spark, monkeypatch):
     """A passage in different surroundings: equal strings of its anchors are reduced before any group is formed."""
     rng = np.random.default_rng(8)

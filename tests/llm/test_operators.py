@@ -82,6 +82,24 @@ def test_substrings(odd, odd_rows):
     assert keyed(substrings.deduplicated(odd)) == brute_windows(odd_rows, 35)
 
 
+def test_bitmaps_bound_what_sets_share(spark):
+    """Pairs that share enough always pass, whatever the widths; most others go before a shingle is sent for them."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for n, u in [(1, 1), (7, 30), (100, 90), (100, 1500), (900, 120), (480, 480)]:
+        for share in range(0, 101, 10):
+            both = min(n, u) * share // 100
+            held = rng.integers(-(1 << 63), (1 << 63) - 1, n + u - both)
+            rows.append((held[:n].tolist(), held[n - both:].tolist(), both))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>, share long").withColumn("n", F.size("a"))
+    bits = df.withColumns({"x": jaccard.bitmap("a"), "y": jaccard.bitmap("b")})
+    assert bits.where(jaccard.may_share("x", "y", "n", "share")).count() == len(rows)
+    none = bits.where("share = 0 AND n >= 100 AND size(b) <= 2 * n").withColumn("y0", F.lit(None).cast("binary"))
+    wanted = F.ceil(F.col("n") * 0.75)
+    assert none.where(jaccard.may_share("x", "y", "n", wanted)).count() == 0
+    assert none.where(jaccard.may_share("x", "y0", "n", wanted)).count() == none.count()
+
+
 def test_suffixes(odd, odd_rows):
     last = 1 << 63
     data = [(row[0] if row[0] is not None else last, (row[1] or "").encode()) for row in odd_rows]

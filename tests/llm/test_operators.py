@@ -100,6 +100,18 @@ def test_bitmaps_bound_what_sets_share(spark):
     assert none.where(jaccard.may_share("x", "y0", "n", wanted)).count() == none.count()
 
 
+def test_prefix_tokens_met_by_other_sets_travel_packed(spark, monkeypatch):
+    """Counts are those of brute force over all parts, copies of a set count once, and no token is a row of its own."""
+    rng = np.random.default_rng(12)
+    monkeypatch.setattr(jaccard, "PART_SHINGLES", 100)
+    pool = rng.integers(-(1 << 63), (1 << 63) - 1, 300)
+    sets = [(i, rng.choice(pool, 20, replace=False).tolist()) for i in range(-6, 6)]
+    heads = spark.createDataFrame([(i, 60, x) for i, x in [*sets, *sets[:4]]], "set_id long, n_shingles long, prefix array<long>").repartition(3)
+    expected = {i: sum(any(t in y for j, y in sets if j != i) for t in x) for i, x in sets}
+    assert {r[0]: r[1] for r in jaccard._shared(heads).collect()} == {i: n for i, n in expected.items() if n}
+    assert heads.select("set_id", "prefix").coalesce(1).mapInArrow(jaccard._dealt(4), "part int, sets binary, size binary, tokens binary").count() <= 4
+
+
 def test_suffixes(odd, odd_rows):
     last = 1 << 63
     data = [(row[0] if row[0] is not None else last, (row[1] or "").encode()) for row in odd_rows]

@@ -433,3 +433,42 @@ def test_empty_vectors(spark):
     none = topk.usable(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert topk.top_k(none, none).count() == 0
     assert neighbours.nearest(none, none).count() == 0
+
+
+def test_a_query_goes_once_to_a_cell_with_all_its_probes(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(size=64).astype(np.float32).astype(float).tolist()) for i in range(30)]
+    queries = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    none = (np.array([], np.int64), np.array([], np.int64))
+    large = (np.arange(128 * 128 * 6), np.full(128 * 128 * 6, 2))  # every bucket in two slices
+    for pairs, slices in ((none, 1), (large, 2)):
+        deal = neighbours.Deal(6, 128, 5000, pairs, none)
+        sent = neighbours._dealt_queries(queries, deal, 64, 2, 11, neighbours.PROBES ** 2).collect()
+        assert len({(r["id"], r["cell"]) for r in sent}) == len(sent) < 30 * 6 * 128
+        assert {len(r["packed"]) for r in sent} == {4 * 64}
+        count = {}
+        for r in sent:
+            count[r["id"]] = count.get(r["id"], 0) + len(set(r["codes"]))
+        assert count == {i: 6 * slices * neighbours.PROBES ** 2 for i in range(30)}
+
+
+@pytest.mark.parametrize("group_rows", [20_000, 40])
+def test_neighbours_by_two_hashes(spark, monkeypatch, group_rows):
+    monkeypatch.setattr(neighbours, "depth_for", lambda *_: 2)
+    monkeypatch.setattr(neighbours, "GROUP_ROWS", group_rows)  # with 40 buckets are cut in slices and axes in parts
+    monkeypatch.setattr(neighbours, "PROBE_SUMS", 100)
+    x = np.random.default_rng(13).normal(size=(400, 4))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<double>")
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in neighbours.nearest(table, table.where("vec_id % 100 = 0")).collect()}
+    for a in range(0, 400, 100):  # 64 buckets of two hashes, all of which are probed
+        s = u @ u[a]
+        best = sorted((i for i in range(400) if i != a), key=lambda i: -s[i])[:5]
+        assert [got[a, k + 1] for k in range(5)] == best
+
+
+def test_vectors_are_packed_without_loss():
+    x = np.array([[1.5, -2.0], [0.1, 1e300], [np.float32(0.1), 0.0]])
+    column = neighbours.packed(x)
+    assert [len(v) for v in column.to_pylist()] == [8, 16, 8]
+    assert (neighbours.unpacked(column, 2) == x).all()

@@ -4,7 +4,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from flowgauge.constants import FEATURES
-from flowgauge.operators import advice, features, metrics, models, runs, scoring
+from flowgauge.operators import advice, attribution, features, metrics, models, runs, scoring
 from flowgauge.plans import prepared
 from flowgauge.sources import tables
 
@@ -311,3 +311,34 @@ def test_queries_deal_rows_out_to_their_forests(spark, sf_dir, parts, fitted, mo
     monkeypatch.setattr(prepared, "_done", set(prepared._done))  # these scores are for no other test
     entry_point.queries()[name](spark, sf_dir)
     assert len(sides) == {"rf_regressor": 1, "rf_classifier": 1}.get(name, 2)
+
+
+def test_walked_trees_give_the_change_of_every_hybrid_score(spark, parts, fitted):
+    """Each step of each order scored by Spark, as the definition says."""
+    train, test = parts
+    model, few = fitted["classifier"], test.orderBy("ordinal").limit(3)
+    mean = np.array(train.agg(*[F.avg(F.col(c).cast("double")) for c in FEATURES]).first(), float)
+    x = np.array(few.select(*[F.col(c).cast("double") for c in FEATURES]).collect())
+    orders = np.array([np.random.default_rng(5).permutation(len(FEATURES)) for _ in range(2)])
+    hybrids = []
+    for i, row in enumerate(x):
+        for turn in orders:
+            now = mean.copy()
+            hybrids.append((len(hybrids), Vectors.dense(now.copy())))
+            for feature in turn:
+                now[feature] = row[feature]
+                hybrids.append((len(hybrids), Vectors.dense(now.copy())))
+    scored = model.stages[-1].transform(spark.createDataFrame(hybrids, ["i", "features"])).orderBy("i").collect()
+    p = np.array([r["_probability"][1] for r in scored]).reshape(3, 2, -1)
+    expected = np.zeros((3, len(FEATURES)))
+    for o, turn in enumerate(orders):
+        expected[:, turn] += (p[:, o, 1:] - p[:, o, :-1]) / 2
+    got = attribution.contributions(attribution.trees_of(model.stages[-1]), x, mean, orders)
+    assert np.abs(expected).max() > 0.01 and np.abs(got - expected).max() < 1e-12
+
+
+def test_attribution_makes_no_row_a_step(spark, parts, fitted):
+    values = models.shapley_attribution(fitted["classifier"], parts[1], parts[0], ["ordinal"])
+    plan = values._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "explode" not in plan
+    assert models.shapley_attribution(fitted["classifier"], parts[1].where("false"), parts[0], ["ordinal"]).isEmpty()

@@ -4,7 +4,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from flowgauge.constants import FEATURES
-from flowgauge.operators import advice, attribution, features, metrics, models, runs, scoring
+from flowgauge.operators import advice, attribution, features, metrics, models, runs, scoring, starts
 from flowgauge.plans import prepared
 from flowgauge.sources import tables
 
@@ -342,3 +342,36 @@ def test_attribution_makes_no_row_a_step(spark, parts, fitted):
     plan = values._jdf.queryExecution().toString()
     assert "Generate" not in plan and "explode" not in plan
     assert models.shapley_attribution(fitted["classifier"], parts[1].where("false"), parts[0], ["ordinal"]).isEmpty()
+
+
+def test_random_numbers_are_those_of_spark(spark):
+    shift = spark._jvm.org.apache.spark.util.random.XORShiftRandom(-7)
+    assert [starts.ShiftRandom(-7).integer()] == [shift.nextInt()]
+    shift.setSeed(-7)
+    assert starts.Uniforms([3, -7]).take(40_000)[1, :500].tolist() == [shift.nextDouble() for _ in range(500)]
+    one, every = starts.ShiftRandom(3), starts.Uniforms([3])
+    assert [one.double() for _ in range(40_000)] == [x for n in (1, 999, 39_000) for x in every.take(n)[0]]  # lanes and chunks go on where they ended
+    java, mine = spark._jvm.java.util.Random(11), starts.JavaRandom(11)
+    assert [mine.integer(), mine.long(), mine.double(), mine.below(7), mine.below(8)] == [java.nextInt(), java.nextLong(), java.nextDouble(), java.nextInt(7), java.nextInt(8)]
+
+
+@pytest.mark.parametrize("rows, tasks", [(3000, 3), (9, 3), (1, 2)])
+def test_first_centres_are_those_of_spark(spark, monkeypatch, rows, tasks):
+    rng = np.random.default_rng(rows)
+    x = rng.normal(size=(rows, 3)) + 3 * rng.integers(0, 4, size=(rows, 1))
+    vectors = spark.createDataFrame(spark.sparkContext.parallelize([(Vectors.dense(r),) for r in x], tasks), ["features"]).persist()
+    turns = [(k, 42 + i) for k in (2, 4) for i in range(2)]
+    expected = [np.array(models.KMeans(k=k, seed=seed, maxIter=0).fit(vectors).clusterCenters()) for k, seed in turns]
+    monkeypatch.setattr(models.KMeans, "_fit", lambda *_: pytest.fail("a pass of its own"))
+    for want, got in zip(expected, starts.first_centres(models._packed(vectors), 3, turns), strict=True):
+        assert got == pytest.approx(want)
+    vectors.unpersist()
+
+
+def test_first_centres_take_eight_passes_for_all_starts(spark, signal, monkeypatch):
+    vectors = models.cluster_input(signal).select("features").persist()
+    passes, collect = [], type(vectors).collect
+    monkeypatch.setattr(type(vectors), "collect", lambda df: passes.append(df) or collect(df))
+    starts.first_centres(models._packed(vectors), vectors.first()[0].size, [(k, i) for k in (2, 3, 5) for i in range(6)])
+    assert len(passes) <= 8
+    vectors.unpersist()

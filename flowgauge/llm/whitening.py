@@ -158,8 +158,11 @@ def refined(v: np.ndarray, x: np.ndarray, rounds: int = 40) -> tuple[np.ndarray,
             x, turns, before = _clusters_solved(v, x, size), turns + 1, np.inf
         else:
             before = moved
-    for _ in range(2):
-        x = x + x @ ((eye - x.T @ x) / 2)
+    for turn in range(8):  # twice, and on where vectors of the smallest eigenvalues are still apart
+        r = eye - x.T @ x
+        if turn > 1 and np.abs(r).max(initial=0) <= 4 * len(v) * eps:
+            break
+        x = x + x @ (r / 2)
     e = np.diag(x.T @ (v @ x)) / (x * x).sum(axis=0)
     order = np.argsort(-e, kind="stable")
     return x[:, order], e[order]
